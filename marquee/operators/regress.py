@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .stats import standard_scale
 
 
@@ -65,7 +66,11 @@ def forest_predictions(df: DataFrame, text_vectors: DataFrame | None, numeric: l
 
     All features are considered at every split (the reference's regressor
     default); the data is hash-partitioned by ``item_id`` so the bootstrap
-    samples do not depend on the input file layout.
+    samples do not depend on the input file layout.  Each tree level is one
+    pass over the data per node group; ``max_memory_mb`` bounds the split
+    statistics per group (features × bins × nodes) *per task*, so it must fit
+    executor memory divided by concurrent tasks; a larger budget means fewer
+    passes.  Node ids are cached (and checkpointed) for deep trees.
     """
     scaled, cols = scaled_features(df, numeric) if numeric else (df, [])
     base = scaled.select("item_id", imputed_target(df, target).alias("label"), *cols)
@@ -73,12 +78,13 @@ def forest_predictions(df: DataFrame, text_vectors: DataFrame | None, numeric: l
     if text_vectors is not None:
         base = base.join(text_vectors, "item_id")
         inputs = [text_col] + inputs
-    base = base.repartition(partitions, "item_id") if partitions else base.repartition("item_id")
+    # Explicit count: AQE would coalesce this small-but-compute-heavy input into one task.
+    base = base.repartition(partitions or shuffle_partitions(df.sparkSession), "item_id")
     data = VectorAssembler(inputCols=inputs, outputCol="features").transform(
         base.sortWithinPartitions("item_id"))
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees,
                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="all",
-                               maxMemoryInMB=max_memory_mb)
+                               maxMemoryInMB=max_memory_mb, cacheNodeIds=True, checkpointInterval=10)
     model = rf.fit(data)
     return model.transform(data).select("item_id", "prediction"), model, inputs
 
