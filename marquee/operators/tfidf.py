@@ -142,3 +142,20 @@ def genre_multi_hot(df: DataFrame, list_col: str = "genres_list") -> DataFrame:
     """F-4: one row per (item, genre) flag; the long form of a multi-hot matrix."""
     return (df.select("item_id", F.explode(F.array_distinct(list_col)).alias("genre"))
             .withColumn("flag", F.lit(1)))
+
+
+def transform_items(model: TfidfModel, items: DataFrame, overview_chars: int | None = None) -> DataFrame:
+    """Weights of (new) items under a fitted vocabulary and idf: (item_id, term, weight, l1).
+
+    Used to vectorise items that arrive after the fit without refitting; the
+    vocabulary is bounded by ``max_features`` and broadcast.
+    """
+    docs = items.select("item_id", combined_text(items, overview_chars).alias("text"))
+    dt = with_terms(docs, F.col("text"), "terms", model.ngram_max).select("item_id", "terms")
+    tf = term_frequencies(dt)
+    j = tf.join(F.broadcast(model.vocab.select("term", "idf")), "term")
+    by_item = Window.partitionBy("item_id")
+    w = j.select("item_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(by_item))
+    return w.select("item_id", "term", (F.col("raw") / norm).alias("weight"),
+                    (F.sum("raw").over(by_item) / norm).alias("l1"))
