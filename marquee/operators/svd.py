@@ -65,6 +65,8 @@ def _project_fn(bvk, k: int):
 
 
 def fit_svd(model: TfidfModel, n_components: int = 100) -> SvdModel:
+    if not model.max_features:
+        raise ValueError("SVD needs a bounded vocabulary (max_features): the Gramian is vocabulary × vocabulary")
     spark = model.weights.sparkSession
     dim = model.vocab.count()
     rows = sparse_rows(model)

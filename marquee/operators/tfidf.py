@@ -112,6 +112,8 @@ def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int
     item_norms = (ids.join(per_item, "item_id", "left")
                   .select("item_id", F.coalesce("n2", F.lit(0.0)).alias("n2"),
                           F.coalesce("n1", F.lit(0.0)).alias("n1")))
+    if materialize:
+        item_norms = cut_lineage(item_norms)
     return TfidfModel(vocab=vocab, weights=weights, item_norms=item_norms, n_docs=n_docs,
                       max_features=max_features or 0, ngram_max=ngram_max)
 

@@ -16,8 +16,11 @@ def test_ridge_matches_closed_form(spark):
     rng = np.random.default_rng(1)
     X = rng.normal(size=(60, 5))
     y = X @ np.array([1.0, -2.0, 0.5, 0.0, 3.0]) + rng.normal(scale=0.3, size=60) + 4.0
-    df = spark.createDataFrame([(i, Vectors.dense(X[i]), float(y[i])) for i in range(60)],
-                               "item_id long, features vector, label double")
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    schema = StructType([StructField("item_id", LongType()), StructField("features", VectorUDT()),
+                         StructField("label", DoubleType())])
+    df = spark.createDataFrame([(i, Vectors.dense(X[i]), float(y[i])) for i in range(60)], schema)
     m = fit_ridge(df, alpha=1.0)
     Xc, yc = X - X.mean(0), y - y.mean()
     w = np.linalg.solve(Xc.T @ Xc + np.eye(5), Xc.T @ yc)
@@ -45,7 +48,7 @@ def _docs(spark):
 
 
 def test_svd_matches_numpy(spark):
-    tf = fit_tfidf(_docs(spark), None, 1)
+    tf = fit_tfidf(_docs(spark), 50, 1)
     vocab = [r["term"] for r in tf.vocab.orderBy("term_index").collect()]
     X = np.zeros((10, len(vocab)))
     for r in tf.weights.collect():
