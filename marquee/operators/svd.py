@@ -1,8 +1,8 @@
 """Truncated, uncentred SVD of the TF-IDF matrix (R-7, R-8).
 
 1. One distributed pass builds the Gramian ``XᵀX`` (vocabulary × vocabulary,
-   bounded by ``max_features``) with MLlib's ``RowMatrix`` (tree aggregation
-   of per-partition dense updates).
+   bounded by ``max_features``): each partition accumulates the sparse outer
+   products of its rows and the partial matrices are tree-reduced.
 2. ``numpy.linalg.eigh`` on the driver gives the right singular vectors
    ``V`` and ``σ² = λ``; the matrix is sized by the vocabulary, not the data.
 3. Item factors ``X·V_k`` (rows of ``UΣ``, what the reference's transformer
@@ -41,13 +41,31 @@ def sparse_rows(model: TfidfModel) -> DataFrame:
     return e.select("item_id", F.col("e.term_index").alias("idx"), F.col("e.weight").alias("val"))
 
 
-def gramian(rows: DataFrame, dim: int) -> np.ndarray:
-    """``XᵀX`` via ``RowMatrix.computeGramianMatrix`` (tree aggregation)."""
-    from pyspark.mllib.linalg import SparseVector
-    from pyspark.mllib.linalg.distributed import RowMatrix
+def _gram_fn(dim: int):
+    iu = np.triu_indices(dim)
 
-    vecs = rows.rdd.map(lambda r: SparseVector(dim, list(r["idx"]), list(r["val"])))
-    return RowMatrix(vecs).computeGramianMatrix().toArray()
+    def fn(batches):
+        g = np.zeros((dim, dim))
+        for pdf in batches:
+            for idx, val in zip(pdf["idx"], pdf["val"]):
+                if idx is None or len(idx) == 0:
+                    continue
+                ix = np.asarray(idx, dtype=np.int64)
+                v = np.asarray(val, dtype=np.float64)
+                g[np.ix_(ix, ix)] += np.outer(v, v)      # k² updates for k non-zeros
+        yield pd.DataFrame({"g": [g[iu].tobytes()]})
+    return fn
+
+
+def gramian(rows: DataFrame, dim: int) -> np.ndarray:
+    """``XᵀX``: per-row sparse outer products accumulated per partition, packed
+    upper triangles combined with ``treeReduce`` — the driver receives one
+    vocabulary × vocabulary matrix whatever the number of partitions."""
+    parts = rows.select("idx", "val").mapInPandas(_gram_fn(dim), "g binary")
+    packed = parts.rdd.map(lambda r: np.frombuffer(r["g"], dtype=np.float64)).treeReduce(np.add, depth=2)
+    g = np.zeros((dim, dim))
+    g[np.triu_indices(dim)] = packed
+    return g + np.triu(g, 1).T
 
 
 def _project_fn(bvk, k: int):

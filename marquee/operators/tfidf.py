@@ -52,6 +52,45 @@ def item_terms(items: DataFrame, ngram_max: int = 1, overview_chars: int | None
     return with_terms(docs, F.col("text"), "terms", ngram_max).select("item_id", "terms")
 
 
+MAX_PRUNE_TERMS = 200_000   # frequent-unigram set shipped as a hash-set literal
+
+
+def pruned_item_terms(items: DataFrame, max_features: int, ngram_max: int = 1,
+                      overview_chars: int | None = None, partitions: int | None = None) -> DataFrame | None:
+    """(item_id, terms) keeping only terms that can still reach the vocabulary.
+
+    Let T be the smallest count among the ``max_features`` most frequent
+    unigrams.  The vocabulary's last count over *all* terms is at least T, and
+    a bigram occurs at most as often as either of its words, so a unigram
+    counted fewer than T times, or a bigram containing one, can never be in
+    the vocabulary (ties at T are kept).  Dropping them before the per-item
+    aggregation is exact.  Returns None when the frequent set is too large to
+    ship as a literal (then the caller keeps every term).
+    """
+    uni = item_terms(items, 1, overview_chars, partitions)
+    uni = cut_lineage(uni)
+    counts = uni.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
+    threshold = top.agg(F.min("n")).scalar()
+    frequent = counts.where(F.col("n") >= threshold).select("term")
+    rows = frequent.limit(MAX_PRUNE_TERMS + 1).collect()
+    if len(rows) > MAX_PRUNE_TERMS:
+        return None
+    keep = [r["term"] for r in rows]
+    if not keep:
+        return uni.select("item_id", F.array().cast("array<string>").alias("terms"))
+    u = F.col("terms")
+    kept = F.filter(u, lambda x: x.isin(keep))
+    if ngram_max >= 2:
+        n = F.size(u)
+        pairs = F.when(n >= 2, F.zip_with(
+            F.slice(u, 1, n - 1), F.slice(u, 2, n - 1),
+            lambda a, b: F.when(a.isin(keep) & b.isin(keep), F.concat(a, F.lit(" "), b))))
+        kept = F.concat(kept, F.coalesce(F.filter(pairs, lambda x: x.isNotNull()),
+                                         F.array().cast("array<string>")))
+    return uni.select("item_id", kept.alias("terms"))
+
+
 def term_frequencies(doc_terms: DataFrame) -> DataFrame:
     """(item_id, term, tf): grouped within the item partitions (no shuffle)."""
     return (doc_terms.select("item_id", F.explode("terms").alias("term"))
@@ -76,20 +115,28 @@ def vocabulary(tf: DataFrame, max_features: int | None, n_docs: Column) -> DataF
 
 def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int = 2,
               variant: str = "smooth", overview_chars: int | None = None,
-              partitions: int | None = None, materialize: bool = True) -> TfidfModel:
+              partitions: int | None = None, materialize: bool = True, prune: bool = True) -> TfidfModel:
     """F-2: fit vocabulary and weights over the whole catalogue.
 
     With ``materialize`` the term frequencies and the weights are written
     once to the shared checkpoint directory (reliable, survives executor
     loss, keeps the ``item_id`` partitioning), so the tokeniser runs once
-    however often the model is used.
+    however often the model is used.  With ``prune`` (and a bounded
+    vocabulary) terms that provably cannot enter the vocabulary are dropped
+    before the per-item aggregation (see ``pruned_item_terms``).
     """
-    doc_terms = item_terms(items, ngram_max, overview_chars, partitions)
+    doc_terms = None
+    if max_features and prune and ngram_max >= 2:
+        doc_terms = pruned_item_terms(items, max_features, ngram_max, overview_chars, partitions)
+    if doc_terms is None:
+        doc_terms = item_terms(items, ngram_max, overview_chars, partitions)
     n_docs = items.select(F.count(F.lit(1))).scalar()
     tf = term_frequencies(doc_terms)
     if materialize:
         tf = cut_lineage(tf)
     vocab = vocabulary(tf, max_features, n_docs)
+    if materialize:
+        vocab = cut_lineage(vocab)
     j = tf.join(F.broadcast(vocab.select("term", "idf", "idf_plain")), "term")
     by_item = Window.partitionBy("item_id")
     if variant == "plain":

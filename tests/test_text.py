@@ -10,7 +10,7 @@ from marquee.functions.text import ENGLISH_STOP_WORDS, combined_text, tokens, wi
 from marquee.operators.tfidf import fit_tfidf, tfidf_vectors
 
 
-def test_stop_words_are_sparks_default():
+def test_stop_words_are_sparks_default(spark):
     from pyspark.ml.feature import StopWordsRemover
     assert ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
 
