@@ -61,9 +61,19 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
     Survives executor loss (unlike a local checkpoint) and keeps the output
     partitioning, so later joins/aggregations on the same key skip a shuffle.
+    The checkpointed relation only records a hash partitioning when the plan
+    that produced it was not adaptive, so this one job is planned with AQE
+    off (its shuffles, if any, use ``spark.sql.shuffle.partitions``).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return df.checkpoint(eager=eager)
+    finally:
+        spark.conf.set(key, before)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
