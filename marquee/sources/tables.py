@@ -66,25 +66,27 @@ SERIES_SCHEMA = T.StructType([
 def read_csv_catalog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """IO-1: header CSV whose quoted fields may hold JSON and line breaks.
 
-    Columns are matched by header name against ``schema`` (extra CSV columns are
-    ignored via ``enforceSchema=false``); NaN in double columns becomes null so
-    the null rules below apply uniformly.
+    Every column is read as text (no inference pass over the data); the
+    columns named in ``schema`` are then picked by header name and converted
+    with ``try_cast`` (unparsable values become null, missing columns are
+    null).  NaN in double columns becomes null so the null rules apply
+    uniformly.
     """
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("multiLine", True)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("enforceSchema", False)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    raw = (spark.read
+           .option("header", True)
+           .option("multiLine", True)
+           .option("quote", '"')
+           .option("escape", '"')
+           .option("mode", "PERMISSIVE")
+           .csv(path))
+    present = set(raw.columns)
     out = []
     for f in schema.fields:
-        c = F.col(f.name)
+        c = F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)
         if isinstance(f.dataType, T.DoubleType):
             c = F.nanvl(c, F.lit(None).cast("double"))
         out.append(c.alias(f.name))
-    return df.select(*out)
+    return raw.select(*out)
 
 
 def write_catalog(df: DataFrame, path: str, mode: str = "overwrite") -> None:
