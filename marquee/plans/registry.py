@@ -136,6 +136,16 @@ def q_feature_importance(spark, d):
     return models.fit_model("random_forest", _items(spark, d)).extras["importance"]
 
 
+def q_fit_metadata(spark, d):
+    """R-13: model, display name, fit seconds and item count of the six fitted models."""
+    items = _items(spark, d)
+    rows = []
+    for name in models.MODEL_NAMES:
+        fm = models.fit_model(name, items)
+        rows.append((name, models.MODEL_NAMES[name], float(fm.fit_seconds), int(fm.n_items)))
+    return spark.createDataFrame(rows, "model string, display_name string, fit_seconds double, n_items long")
+
+
 def q_svd_explained_variance(spark, d):
     fm = models.fit_model("svd", _items(spark, d))
     return spark.createDataFrame([(fm.params["n_components"], float(fm.extras["explained_variance_ratio"]))],
