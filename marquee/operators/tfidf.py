@@ -37,6 +37,7 @@ class TfidfModel:
     n_docs: Column          # scalar subquery: number of fitted items
     max_features: int
     ngram_max: int
+    tf: DataFrame | None = None     # item_id, term, tf (clustered by item_id)
 
 
 def item_terms(items: DataFrame, ngram_max: int = 1, overview_chars: int | None = None,
@@ -162,7 +163,7 @@ def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int
     if materialize:
         item_norms = cut_lineage(item_norms)
     return TfidfModel(vocab=vocab, weights=weights, item_norms=item_norms, n_docs=n_docs,
-                      max_features=max_features or 0, ngram_max=ngram_max)
+                      max_features=max_features or 0, ngram_max=ngram_max, tf=tf)
 
 
 def tfidf_vectors(model: TfidfModel, items: DataFrame, out_col: str = "tfidf",
@@ -171,7 +172,10 @@ def tfidf_vectors(model: TfidfModel, items: DataFrame, out_col: str = "tfidf",
 
     Uses the ML feature transformers (CountVectorizerModel → ElementwiseProduct
     → Normalizer), all JVM-side.  The vocabulary and idf are collected once;
-    both are bounded by ``max_features``.
+    both are bounded by ``max_features``.  When the fitted term frequencies
+    are available, each item's term multiset is rebuilt from ``(term, tf)``
+    (per item, in place: they are clustered by ``item_id``) instead of
+    tokenising the text again; items without vocabulary terms get a zero vector.
     """
     from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
     from pyspark.ml.linalg import Vectors
@@ -179,8 +183,15 @@ def tfidf_vectors(model: TfidfModel, items: DataFrame, out_col: str = "tfidf",
     rows = model.vocab.select("term_index", "term", "idf").orderBy("term_index").collect()
     vocab = [r["term"] for r in rows]
     idf = Vectors.dense([r["idf"] for r in rows])
-    docs = with_terms(items.select("item_id", combined_text(items, overview_chars).alias("text")),
-                      F.col("text"), "terms", model.ngram_max).select("item_id", "terms")
+    if model.tf is not None:
+        kept = model.tf.join(F.broadcast(model.vocab.select("term")), "term")
+        bags = kept.groupBy("item_id").agg(
+            F.flatten(F.collect_list(F.array_repeat(F.col("term"), F.col("tf").cast("int")))).alias("terms"))
+        docs = (model.item_norms.select("item_id").join(bags, "item_id", "left")
+                .select("item_id", F.coalesce("terms", F.array().cast("array<string>")).alias("terms")))
+    else:
+        docs = with_terms(items.select("item_id", combined_text(items, overview_chars).alias("text")),
+                          F.col("text"), "terms", model.ngram_max).select("item_id", "terms")
     cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="terms", outputCol="_tf")
     ep = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_raw")
     nm = Normalizer(p=2.0, inputCol="_raw", outputCol=out_col)
