@@ -13,6 +13,8 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _scalar(df: DataFrame, expr):
     return df.select(expr).scalar()
@@ -61,10 +63,89 @@ def genre_distribution_text(df: DataFrame, text_col: str = "genres_str", top: in
     return counts.orderBy(F.desc("n_items"), F.asc("genre")).limit(top).where(F.col("genre") != "")
 
 
+MAX_COLLECT = 100_000      # values a quantile search may bring to the driver
+APPROX_ACCURACY = 10_000
+
+
+def _kth(values: DataFrame, k: int, n: int):
+    """Exact k-th smallest (0-based) of column ``v`` without a global sort.
+
+    ``percentile_approx`` brackets rank k (rank error ≤ m/accuracy); counts
+    below/at the bracket ends locate it; the bracket shrinks (by about the
+    sketch accuracy per round) until it holds at most ``MAX_COLLECT`` values,
+    which are then collected and sorted, or rank k falls on a bracket end
+    (a tied value, however many rows share it).  Every round is two
+    aggregation jobs; no task holds more than the sketch.
+    """
+    lo = hi = None               # bracket: lo < v < hi (None = unbounded)
+    offset, m = 0, n             # values below the bracket, values inside
+    for _ in range(64):
+        inside = values
+        if lo is not None:
+            inside = inside.where(F.col("v") > lo)
+        if hi is not None:
+            inside = inside.where(F.col("v") < hi)
+        r = k - offset
+        if m <= MAX_COLLECT:
+            return sorted(row[0] for row in inside.collect())[r]
+        t = r / (m - 1)
+        eps = 2.0 / APPROX_ACCURACY
+        a, b = inside.agg(F.percentile_approx("v", [max(0.0, t - eps), min(1.0, t + eps)],
+                                              APPROX_ACCURACY).alias("q")).first()["q"]
+        c = inside.agg(F.count_if(F.col("v") < a).alias("lt_a"), F.count_if(F.col("v") <= a).alias("le_a"),
+                       F.count_if(F.col("v") < b).alias("lt_b"), F.count_if(F.col("v") <= b).alias("le_b")).first()
+        if c["lt_a"] <= r < c["le_a"]:
+            return a
+        if c["lt_b"] <= r < c["le_b"]:
+            return b
+        if r < c["lt_a"]:
+            hi, m = a, c["lt_a"]
+        elif r < c["lt_b"]:
+            lo, hi, offset, m = a, b, offset + c["le_a"], c["lt_b"] - c["le_a"]
+        else:
+            lo, offset, m = b, offset + c["le_b"], m - c["le_b"]
+    raise RuntimeError("quantile search did not converge")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], n: int | None = None) -> tuple[int, list]:
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule).
+
+    Up to ``MAX_COLLECT`` values are sorted on the driver in one collect;
+    larger columns use the distributed k-th value search per needed rank.
+    """
+    values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    if n is None:
+        n = values.count()
+    if n == 0:
+        return 0, [None] * len(probs)
+    if n <= MAX_COLLECT:
+        srt = sorted(r[0] for r in values.collect())
+
+        def at(i):
+            return srt[i]
+    else:
+        cache: dict = {}
+
+        def at(i):
+            if i not in cache:
+                cache[i] = _kth(values, i, n)
+            return cache[i]
+    out = []
+    for p in probs:
+        pos = (n - 1) * p
+        r1 = int(pos)
+        v1 = at(r1)
+        v2 = v1 if pos == r1 else at(min(r1 + 1, n - 1))
+        out.append(v1 + (v2 - v1) * (pos - r1))
+    return n, out
+
+
 def rating_center(df: DataFrame, col: str = "vote_average") -> DataFrame:
-    """A-5: mean and exact median."""
-    return df.agg(F.round(F.avg(col), 6).alias("mean_rating"),
-                  F.round(F.median(col), 6).alias("median_rating"))
+    """A-5: mean and exact median (distributed k-th value search, see ``_kth``)."""
+    df = cut_lineage(df.select(F.col(col).cast("double").alias(col)))
+    _, (med,) = exact_quantiles(df, col, [0.5])
+    return df.agg(F.round(F.avg(col), 6).alias("mean_rating")) \
+        .select("mean_rating", F.round(F.lit(med).cast("double"), 6).alias("median_rating"))
 
 
 def histogram(df: DataFrame, col: str = "vote_average", bins: int = 20) -> DataFrame:
@@ -119,23 +200,32 @@ def correlation_lower(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """A-9: count, mean, sample std, min, quartiles (exact, interpolated), max per column."""
+    """A-9: count, mean, sample std, min, quartiles (exact, interpolated), max per column.
+
+    Moments and extremes come from one aggregation; quartiles from the
+    distributed exact search (``exact_quantiles``), never a single-task
+    percentile buffer.
+    """
     cols = [c for c in cols if c in df.columns]
+    # The quantile rounds re-read the columns: materialise the projection once.
+    df = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.col(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
+    counts = wide.select(*[F.col(f"{c}__count") for c in cols]).first()
+    quart = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75], counts[f"{c}__count"])[1] for c in cols}
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"),
                  F.col(f"{c}__count").cast("bigint").alias("count"),
                  F.round(f"{c}__mean", 6).alias("mean"), F.round(f"{c}__std", 6).alias("std"),
                  F.round(f"{c}__min", 6).alias("min"),
-                 F.round(F.col(f"{c}__q")[0], 6).alias("p25"), F.round(F.col(f"{c}__q")[1], 6).alias("p50"),
-                 F.round(F.col(f"{c}__q")[2], 6).alias("p75"), F.round(f"{c}__max", 6).alias("max"))
+                 *[F.round(F.lit(quart[c][i]).cast("double"), 6).alias(name)
+                   for i, name in enumerate(["p25", "p50", "p75"])],
+                 F.round(f"{c}__max", 6).alias("max"))
         for c in cols])))
 
 

@@ -94,3 +94,13 @@ def test_rating_center_matches_pandas(spark):
     r = stats.rating_center(_df(spark)).first()
     s = pd.Series([0.0, 5.49, 5.5, 5.99, 6.0, 6.99, 7.0])
     assert abs(r["mean_rating"] - round(s.mean(), 6)) < 1e-12 and r["median_rating"] == s.median()
+
+
+def test_exact_quantiles_bracket_search_with_ties(spark, monkeypatch):
+    monkeypatch.setattr(stats, "MAX_COLLECT", 500)      # force the distributed search
+    rng = np.random.default_rng(0)
+    vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25), rng.integers(0, 5, 1000).astype(float)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(4)
+    ps = [0.0, 0.1, 0.25, 0.5, 0.6, 0.75, 0.999, 1.0]
+    n, got = stats.exact_quantiles(df, "x", ps)
+    assert n == 6000 and got == list(np.quantile(vals, ps))
