@@ -71,8 +71,17 @@ def _grad(layers, x, y, alpha):
     return np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
 
 
+def _dense(pdf, dim):
+    """Densify one batch of sparse rows (idx, val) — only inside the task."""
+    x = np.zeros((len(pdf), dim))
+    for r, (idx, val) in enumerate(zip(pdf["idx"], pdf["val"])):
+        if idx is not None and len(idx):
+            x[r, np.asarray(idx, dtype=np.int64)] = np.asarray(val, dtype=np.float64)
+    return x
+
+
 def _xy(pdf, mu, sd):
-    x = (np.stack(pdf["x"].to_numpy()).astype(np.float64) - mu) / sd
+    x = (_dense(pdf, len(mu)) - mu) / sd
     return x, pdf["label"].to_numpy(dtype=np.float64)
 
 
@@ -119,25 +128,35 @@ def _epoch_fn(bstate, shapes, mu, sd, lr, batch, alpha, epoch, seed):
     return fn
 
 
-def fit_mlp(data: DataFrame, hidden: tuple[int, ...] = (256, 128, 64), max_iter: int = 200,
+def column_scaler(data: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Population mean / std per input column from the sparse rows (one
+    aggregation keyed by column index, bounded by ``dim``); zero spread → 1."""
+    n = data.count()
+    e = data.select(F.explode(F.arrays_zip("idx", "val")).alias("e"))
+    agg = e.groupBy(F.col("e.idx").alias("j")).agg(F.sum("e.val").alias("s"), F.sum(F.col("e.val") ** 2).alias("ss"))
+    s1, s2 = np.zeros(dim), np.zeros(dim)
+    for r in agg.collect():
+        s1[r["j"]], s2[r["j"]] = r["s"], r["ss"]
+    mu = s1 / max(n, 1)
+    sd = np.sqrt(np.maximum(s2 / max(n, 1) - mu * mu, 0.0))
+    sd[sd == 0] = 1.0
+    return mu, sd
+
+
+def fit_mlp(data: DataFrame, dim: int, hidden: tuple[int, ...] = (256, 128, 64), max_iter: int = 200,
             lr: float = 1e-3, batch: int = 200, alpha: float = 1e-4, validation_fraction: float = 0.1,
             n_iter_no_change: int = 10, tol: float = 1e-4, seed: int = 42):
-    """Fit on ``data(item_id, x array<double>, label double)``; returns (params, shapes, mu, sd, history)."""
+    """Fit on sparse rows ``data(item_id, idx array<int>, val array<double>, label double)``.
+
+    Returns (params, shapes, mu, sd, validation scores).  Inputs stay sparse in
+    storage and shuffles; each task densifies one minibatch at a time.
+    """
     spark = data.sparkSession
     buckets = int(round(1 / validation_fraction))
     d = data.withColumn("is_val", (F.pmod(F.xxhash64("item_id", F.lit(seed)), F.lit(buckets)) == 0))
     d = cut_lineage(d.repartition(shuffle_partitions(spark), "item_id"))
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-    st = (d.where(~F.col("is_val")).select(array_to_vector("x").alias("v"))
-          .select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).first()["s"])
-    n_in = len(st["mean"])
-    mu = st["mean"].toArray()
-    cnt = st["count"]
-    var_pop = st["variance"].toArray() * ((cnt - 1) / cnt if cnt > 1 else 0.0)
-    sd = np.sqrt(var_pop)
-    sd[sd == 0] = 1.0
-    shapes = _shapes(n_in, hidden)
+    mu, sd = column_scaler(d, dim)
+    shapes = _shapes(dim, hidden)
     theta = _init(shapes, seed)
     m = np.zeros_like(theta)
     v = np.zeros_like(theta)
@@ -177,7 +196,7 @@ def _predict_fn(bparams, shapes, mu, sd):
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = (np.stack(pdf["x"].to_numpy()).astype(np.float64) - mu) / sd
+            x = (_dense(pdf, len(mu)) - mu) / sd
             yield pd.DataFrame({"item_id": pdf["item_id"].to_numpy(), "prediction": _forward(layers, x)[-1][:, 0]})
     return fn
 
@@ -185,5 +204,5 @@ def _predict_fn(bparams, shapes, mu, sd):
 def mlp_predictions(data: DataFrame, fitted) -> DataFrame:
     theta, shapes, mu, sd, _ = fitted
     b = data.sparkSession.sparkContext.broadcast(theta)
-    return data.select("item_id", "x").mapInPandas(_predict_fn(b, shapes, mu, sd),
-                                                   "item_id long, prediction double")
+    return data.select("item_id", "idx", "val").mapInPandas(_predict_fn(b, shapes, mu, sd),
+                                                            "item_id long, prediction double")

@@ -111,7 +111,7 @@ def fit_model(name: str, catalog: DataFrame, params: dict | None = None, reuse:
     else:
         # max_features = 0: numeric features only (no text vector).
         tf = fit_tfidf(catalog, params["max_features"], 1) if params["max_features"] else None
-        vecs = tfidf_vectors(tf, catalog) if tf is not None else None
+        vecs = tfidf_vectors(tf, catalog) if tf is not None and name != "neural" else None
         if name == "linear":
             preds = ridge_predictions(catalog, params["numeric"], params["alpha"], text_vectors=vecs)
             extras = {}
@@ -123,11 +123,13 @@ def fit_model(name: str, catalog: DataFrame, params: dict | None = None, reuse:
             names = vocab + list(params["numeric"])
             extras = {"importance": feature_importance(model, names, 20, spark)}
         else:
-            from pyspark.ml.functions import vector_to_array
             from .regress import imputed_target
+            from .svd import sparse_rows
+            dim = tf.vocab.count()
+            rows = tf.item_norms.select("item_id").join(sparse_rows(tf), "item_id", "left")
             data = (catalog.select("item_id", imputed_target(catalog).alias("label"))
-                    .join(vecs, "item_id").select("item_id", vector_to_array("tfidf").alias("x"), "label"))
-            fm = fit_mlp(data, tuple(params["hidden"]), params["max_iter"])
+                    .join(rows, "item_id").select("item_id", "idx", "val", "label"))
+            fm = fit_mlp(data, dim, tuple(params["hidden"]), params["max_iter"])
             preds = mlp_predictions(data, fm)
             extras = {"validation_scores": fm[4]}
         fitted = FittedModel(name, params, 0.0, n_items, tfidf=tf, predictions=cut_lineage(preds), extras=extras)

@@ -69,9 +69,10 @@ def test_mlp_learns_and_predicts(spark):
     rng = np.random.default_rng(3)
     X = rng.normal(size=(400, 8))
     y = np.tanh(X[:, 0]) * 3 + X[:, 1] ** 2
-    df = spark.createDataFrame([(i, X[i].tolist(), float(y[i])) for i in range(400)],
-                               "item_id long, x array<double>, label double")
-    fm = fit_mlp(df, hidden=(16,), max_iter=60, batch=32, n_iter_no_change=60, tol=0.0)
+    df = spark.createDataFrame([(i, list(range(8)), X[i].tolist(), float(y[i])) for i in range(400)],
+                               "item_id long, idx array<int>, val array<double>, label double")
+    fm = fit_mlp(df, 8, hidden=(16,), max_iter=60, batch=32, n_iter_no_change=60, tol=0.0)
+    assert np.allclose(fm[2], X.mean(0)) and np.allclose(fm[3], X.std(0))
     hist = fm[4]
     assert hist[-1] > hist[0] + 0.3
     preds = dict(mlp_predictions(df, fm).collect())
