@@ -70,7 +70,8 @@ def pruned_item_terms(items: DataFrame, max_features: int, ngram_max: int = 1,
     """
     uni = item_terms(items, 1, overview_chars, partitions)
     uni = cut_lineage(uni)
-    counts = uni.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(uni.select(F.explode("terms").alias("term")).groupBy("term")
+                         .agg(F.count(F.lit(1)).alias("n")))     # read twice below
     top = counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
     threshold = top.agg(F.min("n")).scalar()
     frequent = counts.where(F.col("n") >= threshold).select("term")
