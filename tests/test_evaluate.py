@@ -60,3 +60,17 @@ def test_sample_items_reproducible_and_bounded(spark):
     b = evaluate.sample_items(cat.repartition(4), 5, 100, 42).collect()
     assert a == b and len(a) == 5 and all(r["query_id"] >= 10 for r in a)
     assert evaluate.sample_items(cat, 100, 480, 1).count() == 2
+
+
+def test_empty_recommendations(spark):
+    recs = _recs(spark).where("false")
+    cat = spark.range(5).withColumnRenamed("id", "item_id")
+    assert evaluate.coverage(recs, cat).count() == 0
+    assert evaluate.model_metrics(recs, cat).count() == 0
+
+
+def test_quality_score_bonus_branches(spark):
+    m = spark.createDataFrame([("a", 9.5, 100.0, 10.0), ("b", 0.0, 0.0, 75.0), ("c", 5.0, 35.0, 150.0)],
+                              "model string, avg_rating double, precision double, recommend_ms double")
+    q = {r["model"]: r["quality_score"] for r in evaluate.quality_score(m).collect()}
+    assert q == {"a": 100.0, "b": 3.0, "c": 50.0 + 7.5 + 1.0}

@@ -127,3 +127,13 @@ def test_nearest_by_value_constant_predictions(spark):
     got = nearest_by_value(df, q, 10).orderBy("rank").collect()
     assert [r["item_id"] for r in got] == [0, 1, 3, 4]
     assert all(r["similarity_score"] == 1.0 for r in got)
+
+
+def test_query_with_empty_vector_gets_fill_by_id(spark):
+    # item 5 is "the of and": no vocabulary term; every candidate scores 0 (cosine)
+    m = fit_tfidf(_items(spark), max_features=None, ngram_max=1)
+    q = spark.createDataFrame([(5,)], "query_id long")
+    got = [(r["item_id"], r["similarity_score"]) for r in recommend_sparse(m, q, 4).orderBy("rank").collect()]
+    assert got == [(0, 0.0), (1, 0.0), (2, 0.0), (3, 0.0)]
+    eu = [(r["item_id"], r["similarity_score"]) for r in recommend_sparse(m, q, 2, "euclidean").orderBy("rank").collect()]
+    assert eu == [(0, 0.0), (1, 0.0)]          # distance |b| = 1 for every non-empty item
