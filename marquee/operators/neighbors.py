@@ -12,8 +12,9 @@ a cross product; instead:
    more than ``r + 1`` buckets away is strictly farther than the n-th
    neighbour, so the candidate buckets are ``[b − r − 2, b + r + 2]`` (one
    bucket of slack for floating-point bucket edges).
-3. Candidates come from an equi-join on the bucket id against the bounded,
-   broadcast (query, bucket) table; the items are streamed, never shuffled.
+3. Candidates come from an equi-join on the bucket id against the (query,
+   bucket) table, broadcast after a row-count check; the items are streamed,
+   never shuffled.
    A hot bucket only makes that query's candidate list longer (linear).
 
 The score is ``1 − d / (max d + eps)`` with ``max d = max(max p − t, t − min p)``.
@@ -25,7 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import value_similarity
-from .similarity import MAX_BROADCAST_QUERIES, OUT_DIGITS, SCORE_DIGITS, checked_broadcast
+from ..session import cut_lineage
+from .similarity import (MAX_BROADCAST_QUERIES, MAX_BROADCAST_ROWS, OUT_DIGITS, SCORE_DIGITS,
+                         checked_broadcast)
 from .topk import top_k_per_group
 
 
@@ -72,7 +75,8 @@ def nearest_by_value(preds: DataFrame, queries: DataFrame, n: int = 10, eps: flo
         "query_id", "t",
         F.explode(F.sequence(F.greatest(F.col("bq") - F.col("rstar") - 2, F.lit(0)),
                              F.least(F.col("bq") + F.col("rstar") + 2, F.lit(bins - 1)))).alias("b"))
-    qbuckets = F.broadcast(qbuckets) if bounded else qbuckets
+    # At most queries × bins rows; materialised, then broadcast only if small.
+    qbuckets, _ = checked_broadcast(cut_lineage(qbuckets), MAX_BROADCAST_ROWS)
 
     cands = (pb.join(qbuckets, "b")
              .where(F.col("item_id") != F.col("query_id"))
