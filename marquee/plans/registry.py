@@ -15,7 +15,7 @@ from ..functions.text import combined_text, drop_stop_words, tokens, with_terms
 from ..operators import clean, evaluate, models, stats, topk
 from ..operators.neighbors import nearest_by_value
 from ..operators.similarity import attach_details, recommend_dense, recommend_sparse
-from ..operators.tfidf import fit_tfidf, genre_multi_hot
+from ..operators.tfidf import genre_multi_hot
 from ..session import cut_lineage
 from ..sources import adapters
 from ..sources.tables import read_table

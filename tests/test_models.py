@@ -1,7 +1,6 @@
 """R-6, R-7, R-8, R-9 against numpy closed forms; the model registry end to end."""
 
 import numpy as np
-import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 

@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.operators.neighbors import nearest_by_value
 from marquee.operators.similarity import recommend_dense, recommend_sparse
