@@ -98,3 +98,16 @@ def test_compare_records_failures(spark):
                                                                                   n_components=500)})
     st = {r["model"]: r["status"] for r in timings.collect()}
     assert st["knn"] == "ok" and recs.where("model = 'knn'").count() == 6
+
+
+def test_forest_predictions_and_importance_names(spark):
+    from marquee.operators.regress import feature_importance, forest_predictions
+    rows = [(i, float(i % 10), int(i % 7) * 10, float(i % 10) * 0.9 + (1.0 if i % 7 == 0 else 0.0)) for i in range(120)]
+    df = spark.createDataFrame(rows, "item_id long, popularity double, vote_count long, vote_average double")
+    preds, model, inputs = forest_predictions(df, None, ["popularity", "vote_count"], num_trees=5, max_depth=3)
+    p1 = dict(preds.collect())
+    preds2, _, _ = forest_predictions(df.repartition(3), None, ["popularity", "vote_count"], num_trees=5, max_depth=3)
+    assert p1 == dict(preds2.collect())                      # seed + explicit partitioning: reproducible
+    assert len(p1) == 120 and inputs == ["popularity_scaled", "vote_count_scaled"]
+    imp = feature_importance(model, ["popularity", "vote_count"], 20, spark).collect()
+    assert [r["feature"] for r in imp][0] == "popularity" and abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
