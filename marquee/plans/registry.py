@@ -146,6 +146,18 @@ def q_fit_metadata(spark, d):
     return spark.createDataFrame(rows, "model string, display_name string, fit_seconds double, n_items long")
 
 
+def q_model_comparison(spark, d):
+    """E-2, E-8, E-17, E-19, E-20 with measured times: all six models, one comparison table."""
+    items = _items(spark, d)
+    recs, timings = models.compare(items, _queries(items), n=N_RECS)
+    ok = timings.where(F.col("status") == "ok")
+    m = evaluate.model_metrics(recs, items).join(F.broadcast(ok), "model")
+    scored = evaluate.comparison_score(m)
+    return scored.select("model", "fit_seconds", "recommend_seconds", F.round("coverage", 6).alias("coverage"),
+                         F.round("diversity", 6).alias("diversity"), F.round("avg_rating", 6).alias("avg_rating"),
+                         F.round("precision", 6).alias("precision"), F.round("total_score", 6).alias("total_score"))
+
+
 def q_svd_explained_variance(spark, d):
     fm = models.fit_model("svd", _items(spark, d))
     return spark.createDataFrame([(fm.params["n_components"], float(fm.extras["explained_variance_ratio"]))],
