@@ -79,7 +79,7 @@ def components(edges: DataFrame) -> DataFrame:
                 e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         # Large star: every larger neighbour of a node is joined to the smallest in its neighbourhood.
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where(
             "a != b").distinct()
         # Small star: every smaller neighbour of a node, and the node, are joined to the smallest of them.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, line_dedup, packing, quality, sharding, urls
+from . import bpe, chat, embeddings, line_dedup, minhash, packing, quality, sharding, urls
 from .common import tokenizer_path
 
 
@@ -20,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(F.col("row.doc_id").alias("doc_id"), *quality.FEATURES, "base_failed", "kept")
@@ -45,6 +49,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("_text", 256).alias("kept_sha256"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -61,8 +69,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_quality, op4_chat, op5_line_dedup, op8_urls, op9_sharding,
-                                    op10_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_embeddings, op3_quality, op4_chat, op5_line_dedup, op7_minhash,
+                                    op8_urls, op9_sharding, op10_bpe)}
 
 
 def oracle() -> dict[str, str]:
