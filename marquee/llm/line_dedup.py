@@ -77,7 +77,7 @@ class LineIndex:
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Every row of ``docs`` with new columns ``_text`` (kept lines), ``_n_lines`` and ``_n_dropped``."""
+    """Every row of ``docs`` as ``row``, with ``_text`` (kept lines), ``_n_lines`` and ``_n_dropped``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.struct(*docs.columns).alias("row"), text.alias("text"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"))
@@ -97,6 +97,6 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CH
     out = out.withColumn("cuts", F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size("lines"))))
     kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("gone")), lambda i: F.slice(
         "lines", F.col("cuts")[i] + 2, F.col("cuts")[i + 1] - F.col("cuts")[i] - 1)))
-    return out.select("row.*", F.when(F.size("gone") == 0, F.col("text")).otherwise(
+    return out.select("row", F.when(F.size("gone") == 0, F.col("text")).otherwise(
         F.array_join(kept, "\n")).alias("_text"), F.size("lines").cast("long").alias("_n_lines"),
         F.size("gone").cast("long").alias("_n_dropped"))

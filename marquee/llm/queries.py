@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, line_dedup, minhash, packing, quality, sharding, urls
+from . import bpe, chat, embeddings, line_dedup, lm, minhash, packing, quality, sharding, urls
 from .common import tokenizer_path
 
 
@@ -45,10 +45,14 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+    return out.select(F.col("row.doc_id").alias("doc_id"), F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
                       F.sha2("_text", 256).alias("kept_sha256"))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_embeddings, op3_quality, op4_chat, op5_line_dedup, op7_minhash,
+    return {f.__name__: f for f in (op1_packing, op2_embeddings, op3_quality, op4_chat, op5_line_dedup, op6_lm, op7_minhash,
                                     op8_urls, op9_sharding, op10_bpe)}
 
 
