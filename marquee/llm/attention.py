@@ -13,11 +13,11 @@ import numpy as np
 CONTEXT, STEP = 16, 16
 WIDTH = CONTEXT + STEP
 DIM = 16
-SINGLE, SHARED = 47, 15      # classes of one frequent id, classes that the other ids share
+SINGLE, SHARED = 240, 48     # classes of one frequent id, classes that the other ids share
 END = SINGLE + SHARED        # class of the end of a text
 CLASSES = END + 1
 START, PAD = CLASSES, CLASSES + 1
-AT_ONCE = 1024               # windows scored in one step
+AT_ONCE = 256                # windows scored in one step
 
 
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,6 +54,8 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+LIMIT = np.float32(60)       # of scores before exp; far above what training reaches, so that nothing overflows
+
 #: A query at place CONTEXT + i sees the inputs up to itself.
 _CAUSAL = np.where(np.arange(WIDTH) <= CONTEXT + np.arange(STEP)[:, None], 0, -1e9).astype(np.float32)
 
@@ -79,20 +81,23 @@ def cut_windows(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray):
-    x = p["emb"][inputs] + p["pos"]
+    x = p["emb"][inputs]
+    x += p["pos"]
     xq = x[:, CONTEXT:]
     q, k, v = xq @ (p["q"] * np.float32(DIM**-0.5)), x @ p["k"], x @ p["v"]
     a = q @ k.transpose(0, 2, 1)
     a += _CAUSAL
-    a += np.where(inputs == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
+    first = np.flatnonzero(inputs[:, 0] == PAD)            # filling after a text's end is hidden by causality
+    a[first] += np.where(inputs[first] == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
+    np.exp(np.minimum(a, LIMIT, out=a), out=a)
+    norm = a.sum(axis=2, keepdims=True)
     z = a @ v
-    h = xq + z @ p["o"]
+    z /= norm
+    h = z @ p["o"]
+    h += xq
     logits = h.reshape(-1, DIM) @ p["u"]
     logits += p["b"]
-    return x, q, k, v, a, z, h, logits
+    return x, q, k, v, a, norm, z, h, np.minimum(logits, LIMIT, out=logits)
 
 
 def log10_probabilities(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -102,20 +107,18 @@ def log10_probabilities(p: dict[str, np.ndarray], inputs: np.ndarray, targets: n
         logits = forward(p, inputs[at:at + AT_ONCE])[-1]
         goal = targets[at:at + AT_ONCE].ravel()
         chosen = logits[np.arange(len(goal)), np.maximum(goal, 0)]
-        top = logits.max(axis=1)
-        logits -= top[:, None]
         np.exp(logits, out=logits)
-        lp = (chosen - top - np.log(logits.sum(axis=1))) / np.log(10)
+        lp = (chosen - np.log(logits.sum(axis=1))) / np.log(10)
         out[at:at + AT_ONCE] = np.where(goal >= 0, lp, 0).reshape(-1, STEP)
     return out
 
 
 def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross-entropy over the targets."""
-    x, q, k, v, a, z, h, logits = forward(p, inputs)
+    x, q, k, v, a, norm, z, h, logits = forward(p, inputs)
+    a /= norm
     goal = targets.ravel()
     live = goal >= 0
-    logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     logits[np.arange(len(goal)), np.maximum(goal, 0)] -= 1

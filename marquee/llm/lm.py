@@ -30,8 +30,8 @@ from . import attention, bpe
 from .common import parallelism, stored
 
 TRAIN_EVERY = 64
-ROUNDS, STEPS, BATCH = 5, 30, 64
-RATES = (0.02, 0.015, 0.01, 0.006, 0.003)
+STEPS, BATCH = 40, 64
+RATES = (0.02, 0.012, 0.006, 0.002)       # one round each
 KNOWN, KNOWN_BYTES = 100_000, 64
 END_WORD = b""               # a word is never empty, so this stands for the end of a text
 SLICE = 300
@@ -105,7 +105,7 @@ def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_
     # Dealt evenly, in a fixed order: a lost partition trains the same model again.
     windows = stored(windows.repartition(parallelism(docs.sparkSession), F.xxhash64("window")), "windows")
     params = attention.new_params()
-    for rate in RATES[:ROUNDS]:
+    for rate in RATES:
 
         def fit(batches, params=params, rate=rate):
             # A partition's windows come in bounded batches; each goes on from where the last one ended.
