@@ -144,7 +144,8 @@ def links(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int
                     [batch.column(0).slice(at, len(found)), pa.array(found, pa.list_(pa.int64()))], ["id", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    full = stored(texts.join(needed, "doc_id", "left_semi").mapInArrow(sets, "id long, set array<long>"), "sets")
+    # The ids grow with the corpus, so they are never broadcast.
+    full = stored(texts.join(needed.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "id long, set array<long>"), "sets")
     for side in "ab":
         pairs = pairs.join(full.select(F.col("id").alias(side), F.col("set").alias("x" + side)), side)
     both = F.size(F.array_intersect("xa", "xb"))
