@@ -84,9 +84,9 @@ def chats(turns):
     return out
 
 
-def shingles(text):
+def shingles(text, n=4):
     w = WORD.findall((text or "").translate(UP))
-    return frozenset(tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset()
+    return frozenset(tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()
 
 
 def linked(keys, pairs):
@@ -104,8 +104,8 @@ def linked(keys, pairs):
     return {k: root(k) for k in keys}
 
 
-def near_duplicates(docs):
-    sets = [(key, shingles(text)) for key, text in docs]
+def near_duplicates(docs, n=4):
+    sets = [(key, shingles(text, n)) for key, text in docs]
     by = collections.defaultdict(list)
     for n, (_, s) in enumerate(sets):
         for x in s:
@@ -126,7 +126,7 @@ def embeddings(rows, least=0.95):
     good = [(k, np.array(v, float)) for k, v in rows
             if v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)]
     keys = [k for k, _ in good]
-    x = np.array([v / np.linalg.norm(v) for _, v in good])
+    x = np.array([v / abs(v).max() / np.linalg.norm(v / abs(v).max()) for _, v in good])
     sim = x @ x.T if len(x) else np.zeros((0, 0))
     np.fill_diagonal(sim, 0)
     hit = np.argwhere(sim >= least)
@@ -144,3 +144,30 @@ def base_scores(docs):
     n, v = sum(c.values()), len(c)
     return [(k, held[k], len(ws), sum(1 for w in ws if c[w]), n,
              sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for k, ws in cut.items()]
+
+
+def kept_by_rules(docs):
+    """The quality verdicts, rule by rule."""
+    out = set()
+    for (key, text), (_, n, chars, symbols, dup, repeat, _) in zip(docs, quality(docs)):
+        lines = sum(1 for x in (text or "").split("\n") if WORD.search(x))
+        shouts = (text or "").count("!")
+        if (n >= 50 and repeat * 2 <= n and symbols * 10 <= n and shouts * 5 <= n and dup * 10 <= lines * 3
+                and n * 2 <= chars <= n * 20):
+            out.add(key)
+    return out
+
+
+def pipeline(docs, capacity=2048):
+    kept = kept_by_rules(docs)
+    docs = [d for d in docs if d[0] in kept]
+    held = collections.defaultdict(set)
+    def norm(x):
+        return x.strip(" \t\n\x0b\x0c\r").translate(UP)
+    for key, text in docs:
+        for x in map(norm, text.split("\n")):
+            if len(x) >= 10:
+                held[x].add(key)
+    docs = [(key, "\n".join(x for x in text.split("\n") if min(held.get(norm(x), {key})) == key)) for key, text in docs]
+    stay = {k for k, _, _, same in near_duplicates(docs, 5) if same}
+    return pieces([d for d in docs if d[0] in stay], capacity)
