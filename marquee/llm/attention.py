@@ -2,7 +2,8 @@
 
 Every token id has a class; the ids of a class share its probability in proportion to their smoothed counts in the
 training text.  The model predicts the next token's class: class and place embeddings, one attention head, a residual
-and a softmax.  Texts are read in overlapping windows of ``CONTEXT + STEP`` inputs; each window predicts after its last
+and a softmax in two steps, over groups of classes and over the classes of the next token's group, so that scoring a token
+takes few exponentials.  Texts are read in overlapping windows of ``CONTEXT + STEP`` inputs; each window predicts after its last
 ``STEP`` inputs, so every token is scored once and sees at least ``CONTEXT`` tokens before it (where there are any).
 """
 
@@ -13,11 +14,13 @@ import numpy as np
 CONTEXT, STEP = 16, 16
 WIDTH = CONTEXT + STEP
 DIM = 16
-SINGLE, SHARED = 240, 48     # classes of one frequent id, classes that the other ids share
-END = SINGLE + SHARED        # class of the end of a text
-CLASSES = END + 1
+GROUPS, MEMBERS = 32, 32     # classes are numbered by group
+CLASSES = GROUPS * MEMBERS
+SHARED = 63                  # classes that the less frequent ids share
+END = CLASSES - 1            # class of the end of a text
+SINGLE = END - SHARED        # classes of one frequent id each
 START, PAD = CLASSES, CLASSES + 1
-AT_ONCE = 256                # windows scored in one step
+AT_ONCE = 1024               # windows scored in one step
 
 
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,8 +40,8 @@ def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def new_params(seed: int = 1) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     shapes = {"emb": (CLASSES + 2, DIM), "pos": (WIDTH, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM),
-              "o": (DIM, DIM), "u": (DIM, CLASSES), "b": (CLASSES,)}
-    scale = {"emb": 0.5, "pos": 0.3, "b": 0.0}
+              "o": (DIM, DIM), "group": (DIM + 1, GROUPS), "member": (GROUPS, DIM + 1, MEMBERS)}
+    scale = {"emb": 0.5, "pos": 0.3, "group": 0.1, "member": 0.1}
     return {n: (rng.standard_normal(s) * scale.get(n, DIM**-0.5)).astype(np.float32) for n, s in shapes.items()}
 
 
@@ -81,7 +84,7 @@ def cut_windows(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray):
-    x = p["emb"][inputs]
+    x = np.take(p["emb"], inputs, axis=0)
     x += p["pos"]
     xq = x[:, CONTEXT:]
     q, k, v = xq @ (p["q"] * np.float32(DIM**-0.5)), x @ p["k"], x @ p["v"]
@@ -90,42 +93,71 @@ def forward(p: dict[str, np.ndarray], inputs: np.ndarray):
     first = np.flatnonzero(inputs[:, 0] == PAD)            # filling after a text's end is hidden by causality
     a[first] += np.where(inputs[first] == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
     np.exp(np.minimum(a, LIMIT, out=a), out=a)
-    norm = a.sum(axis=2, keepdims=True)
+    norm = a @ np.ones((WIDTH, 1), np.float32)
     z = a @ v
     z /= norm
-    h = z @ p["o"]
-    h += xq
-    logits = h.reshape(-1, DIM) @ p["u"]
-    logits += p["b"]
-    return x, q, k, v, a, norm, z, h, np.minimum(logits, LIMIT, out=logits)
+    h = np.ones((x.shape[0], STEP, DIM + 1), np.float32)   # the last column is for the biases
+    h[..., :DIM] = z @ p["o"]
+    h[..., :DIM] += xq
+    return x, q, k, v, a, norm, z, h.reshape(-1, DIM + 1)
+
+
+def softmax(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of scores kept in bounds, and their sums by row."""
+    np.exp(np.minimum(scores, LIMIT, out=scores), out=scores)
+    return scores, scores @ np.ones(scores.shape[1], np.float32)
+
+
+def by_group(goal: np.ndarray):
+    """(group, places of its targets) of each group that has some."""
+    order = np.argsort(goal // MEMBERS, kind="stable")
+    cuts = np.searchsorted(goal[order] // MEMBERS, np.arange(GROUPS + 1))
+    for g in range(GROUPS):
+        if cuts[g] < cuts[g + 1]:
+            yield g, order[cuts[g]:cuts[g + 1]]
 
 
 def log10_probabilities(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """log10 of every target's class probability, 0 where there is no target."""
-    out = np.zeros(targets.shape, np.float64)
+    out = np.zeros(targets.size, np.float64)
     for at in range(0, len(inputs), AT_ONCE):
-        logits = forward(p, inputs[at:at + AT_ONCE])[-1]
         goal = targets[at:at + AT_ONCE].ravel()
-        chosen = logits[np.arange(len(goal)), np.maximum(goal, 0)]
-        np.exp(logits, out=logits)
-        lp = (chosen - np.log(logits.sum(axis=1))) / np.log(10)
-        out[at:at + AT_ONCE] = np.where(goal >= 0, lp, 0).reshape(-1, STEP)
-    return out
+        live = np.flatnonzero(goal >= 0)
+        h, goal = forward(p, inputs[at:at + AT_ONCE])[-1][live], goal[live]
+        e, total = softmax(h @ p["group"])
+        lp = np.log(e[np.arange(len(goal)), goal // MEMBERS] / total)
+        for g, rows in by_group(goal):
+            e, total = softmax(h[rows] @ p["member"][g])
+            lp[rows] += np.log(e[np.arange(len(rows)), goal[rows] % MEMBERS] / total)
+        out[at * STEP + live] = lp
+    return (out / np.log(10)).reshape(targets.shape)
 
 
 def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean cross-entropy over the targets."""
-    x, q, k, v, a, norm, z, h, logits = forward(p, inputs)
+    x, q, k, v, a, norm, z, h = forward(p, inputs)
     a /= norm
     goal = targets.ravel()
-    live = goal >= 0
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    logits[np.arange(len(goal)), np.maximum(goal, 0)] -= 1
-    logits *= (live / max(1, live.sum())).astype(np.float32)[:, None]
-    flat_h = h.reshape(-1, DIM)
-    g = {"u": flat_h.T @ logits, "b": logits.sum(axis=0)}
-    dh = (logits @ p["u"].T).reshape(h.shape)
+    live = np.flatnonzero(goal >= 0)
+    goal, hl = goal[live], h[live]
+    weight = np.float32(1 / max(1, len(goal)))
+
+    def error(scores, chosen):
+        e, total = softmax(scores)
+        e *= (weight / total)[:, None]
+        e[np.arange(len(e)), chosen] -= weight
+        return e
+
+    d = error(hl @ p["group"], goal // MEMBERS)
+    g = {"group": hl.T @ d, "member": np.zeros_like(p["member"])}
+    dl = d @ p["group"].T
+    for n, rows in by_group(goal):
+        d = error(hl[rows] @ p["member"][n], goal[rows] % MEMBERS)
+        g["member"][n] = hl[rows].T @ d
+        dl[rows] += d @ p["member"][n].T
+    dh = np.zeros_like(h)
+    dh[live] = dl
+    dh = dh[:, :DIM].reshape(len(inputs), STEP, DIM)
     g["o"] = z.reshape(-1, DIM).T @ dh.reshape(-1, DIM)
     dz = dh @ p["o"].T
     da = dz @ v.transpose(0, 2, 1)

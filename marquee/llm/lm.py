@@ -94,16 +94,20 @@ def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_
         encoder = bpe.load(path)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
-                _, seqs = class_sequences(batch.column(0).slice(at, SLICE).to_pylist(), encoder, cls)
-                inputs, targets, _ = attention.cut_windows(seqs)
+                _, seqs = class_sequences(batch.column(1).slice(at, SLICE).to_pylist(), encoder, cls)
+                inputs, targets, owner = attention.cut_windows(seqs)
                 rows = [x.tobytes() for x in np.concatenate([inputs, targets], axis=1)]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, SLICE).take(pa.array(owner)), pa.array(np.arange(len(rows))),
+                     pa.array(rows, pa.binary())], ["doc_id", "place", "window"])
 
     chosen = docs.where(~held_out(F.col("doc_id"))).where(
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(every)) == 0)
-    windows = chosen.select(F.col("text").cast("string")).mapInArrow(cut, "window binary")
+    windows = chosen.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        cut, "doc_id long, place long, window binary")
     # Dealt evenly, in a fixed order: a lost partition trains the same model again.
-    windows = stored(windows.repartition(parallelism(docs.sparkSession), F.xxhash64("window")), "windows")
+    windows = stored(windows.repartition(parallelism(docs.sparkSession), "doc_id", "place").select(
+        "doc_id", "place", "window"), "windows")
     params = attention.new_params()
     for rate in RATES:
 
@@ -121,7 +125,7 @@ def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_
                     [pa.array(np.arange(len(w))), pa.array(w.astype(np.float64) * n), pa.array(np.full(len(w), n))],
                     ["at", "w", "n"])
 
-        total = windows.sortWithinPartitions("window").mapInArrow(fit, "at long, w double, n long").groupBy("at").agg(
+        total = windows.sortWithinPartitions("doc_id", "place", "window").select("window").mapInArrow(fit, "at long, w double, n long").groupBy("at").agg(
             (F.sum("w") / F.sum("n")).alias("w")).collect()
         if not total:
             break
@@ -174,15 +178,15 @@ def score_documents(docs: DataFrame, path: str, every: int = TRAIN_EVERY) -> Dat
                 rows = []
                 for text in texts:
                     cut = words_of(text)
-                    found = [value.get(w) for w in cut]
-                    rare: Counter = Counter(w for w, v in zip(cut, found) if v is None)
-                    good = [v for v in found if v is not None]
-                    total = sum(good) - base * (len(cut) + 1)
+                    found = list(map(value.get, cut))
+                    missed = found.count(None)
+                    rare: Counter = Counter([w for w, v in zip(cut, found) if v is None] if missed else ())
+                    total = sum(filter(None, found)) - base * (len(cut) + 1)
                     if end_share is None:
                         rare[END_WORD] += 1
                     else:
                         total += end_share
-                    rows.append((len(cut) + 1, len(good) + (end_share is not None), total, list(rare.items())))
+                    rows.append((len(cut) + 1, len(cut) - missed + (end_share is not None), total, list(rare.items())))
                 n, k, total, rare = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, SLICE), pa.array(n, pa.int64()), pa.array(k, pa.int64()),
