@@ -99,11 +99,11 @@ def ordered_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, every: int =
 
     def measure(batches):
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(0)
             rows = []
             for rule in rules:
                 began = time.perf_counter_ns()
-                rejected = sum(rule.rejects(Document(x)) for x in texts)
+                rejected = sum(rule.rejects(Document(texts[k].as_py())) for k in range(len(texts)))
                 rows.append((rule.name, rejected, time.perf_counter_ns() - began))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["name", "rejected", "ns"])
 
@@ -118,22 +118,27 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, features: tuple[str,
     """Every row of ``docs`` as ``row`` with ``kept``, ``base_failed`` and the features asked for (they are completed
     after the verdict; ask for none to leave out what the cascade did not need)."""
     order = ordered_rules(docs, rules)
-    names = [r.name for r in BASE]
+
+    def verdict(text: str | None) -> tuple:
+        # A document's words live no longer than its verdict; a batch keeps numbers only.
+        d = Document(text)
+        kept = not any(r.rejects(d) for r in order)
+        if not features:
+            return (kept,)
+        return (kept, not kept and any(r.rejects(d) for r in BASE), *(d[f] for f in features))
 
     def run(batches):
         for batch in batches:
-            found = [Document(x) for x in batch.column(1).to_pylist()]
-            kept = [not any(r.rejects(d) for r in order) for d in found]
-            cols = {"row": batch.column(0), "kept": pa.array(kept, pa.bool_())}
-            if features:
-                base = [not k and any(r.rejects(d) for r in BASE) for d, k in zip(found, kept)]
-                cols["base_failed"] = pa.array(base, pa.bool_())
-                cols |= {f: pa.array([d[f] for d in found], pa.int64()) for f in features}
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-
-    assert set(names) <= {r.name for r in rules}
+            row = batch.column(0)
+            text = row.field("text").cast(pa.string())
+            cols = list(zip(*(verdict(text[k].as_py()) for k in range(len(text))))) or [()] * len(made)
+            yield pa.RecordBatch.from_arrays([row, *(pa.array(c, t) for c, t in zip(cols, made.values()))],
+                                             ["row", *made])
+
+    made = {"kept": pa.bool_()} | ({"base_failed": pa.bool_()} | dict.fromkeys(features, pa.int64()) if features else {})
+    assert {r.name for r in BASE} <= {r.name for r in rules}
     row = F.struct(*docs.columns)
     kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
     more = "".join(f", {f} long" for f in features)
-    return docs.select(row.alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return docs.select(row.alias("row")).mapInArrow(
         run, f"row {kind}, kept boolean" + ", base_failed boolean" * bool(features) + more)
