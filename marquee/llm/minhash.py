@@ -29,7 +29,7 @@ from .words import hashed_texts, mix, slices
 WORDS = 4
 PERCENT = 80
 BINS, BANDS, ROWS = 128, 25, 5
-CENTRES = 3
+CENTRES = 10
 AGREE = 0.64                 # least share of equal bins of a pair that is worth the exact test
 
 
@@ -102,11 +102,11 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def candidate_pairs(classes: DataFrame) -> DataFrame:
     """Star edges (a, b), a < b, of ``classes(id, bands)``, each pair once.
 
-    A centre is the member whose id is least after flipping the bits of the bucket's hash (another rotation for each
+    A centre is the member whose id is least after flipping the bits of a hash of the bucket (another rotation for each
     centre): a draw that a combining minimum finds without bringing the bucket together.
     """
     members = classes.select("id", F.explode("bands").alias("bucket"))
-    masks = [F.shiftrightunsigned("bucket", 1 + 17 * k).bitwiseAND(F.lit((1 << 30) - 1)) for k in range(CENTRES)]
+    masks = [F.shiftrightunsigned(F.xxhash64("bucket", F.lit(k)), 2) for k in range(CENTRES)]
     centres = members.groupBy("bucket").agg(
         F.min("id").alias("_lo"), F.max("id").alias("_hi"),
         *(F.min(F.col("id").bitwiseXOR(m)).alias(f"_c{k}") for k, m in enumerate(masks))).where("_lo < _hi")
