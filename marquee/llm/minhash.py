@@ -3,9 +3,10 @@
 Method.  A document's set holds the hashes of its distinct word shingles.  One permutation hash deals the set to
 ``BINS`` bins and keeps each bin's least value; an empty bin takes the value of the first filled bin in an order drawn
 for it (optimal densification).  ``BANDS`` bands of ``ROWS`` bins give buckets.  Documents with equal sets are one
-class, whatever their number.  In a bucket each class is joined to ``CENTRES`` centres drawn from the bucket (stars,
-so a bucket gives a few pairs per member, never all pairs).  Pairs whose signatures agree in too few bins are left
-out, with a margin of over four standard deviations; the others are confirmed on full sets.  Links form components.
+class, whatever their number.  In a bucket each class is joined to a few centres drawn from the bucket (stars, so a
+bucket gives a few pairs per member, never all pairs).  Pairs whose signatures agree in too few bins are left out, with
+a margin of over four standard deviations; the others are confirmed on full sets.  Links form components.  A second
+round draws more centres in the buckets that still hold several components and tries only pairs across them.
 
 At a similarity of 0.8 two documents miss each other in all bands with probability 5e-5.  Hashes of words and shingles
 have 64 bits, set fingerprints 128.
@@ -29,7 +30,7 @@ from .words import hashed_texts, mix, slices
 WORDS = 4
 PERCENT = 80
 BINS, BANDS, ROWS = 128, 25, 5
-CENTRES = 10
+CENTRES = (3, 10)            # per bucket, in the first and the second round
 AGREE = 0.64                 # least share of equal bins of a pair that is worth the exact test
 
 
@@ -99,27 +100,32 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
         run, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary")
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """Star edges (a, b), a < b, of ``classes(id, bands)``, each pair once.
+def candidate_pairs(classes: DataFrame, centres: int, draw: int = 0) -> DataFrame:
+    """Star edges (a, b), a < b, between different components of ``classes(id, component, bands)``, each pair once.
 
-    A centre is the member whose id is least after flipping the bits of a hash of the bucket (another rotation for each
-    centre): a draw that a combining minimum finds without bringing the bucket together.
+    A centre is the member whose id is least after flipping the bits of a hash of the bucket (another one for each
+    centre and ``draw``): found by a combining minimum, without bringing the bucket together.
     """
-    members = classes.select("id", F.explode("bands").alias("bucket"))
-    masks = [F.shiftrightunsigned(F.xxhash64("bucket", F.lit(k)), 2) for k in range(CENTRES)]
-    centres = members.groupBy("bucket").agg(
-        F.min("id").alias("_lo"), F.max("id").alias("_hi"),
-        *(F.min(F.col("id").bitwiseXOR(m)).alias(f"_c{k}") for k, m in enumerate(masks))).where("_lo < _hi")
-    centres = centres.select("bucket", F.array(*(F.col(f"_c{k}").bitwiseXOR(m) for k, m in enumerate(masks)))
-                             .alias("centres"))
-    edges = members.join(centres, "bucket").select("id", F.explode(F.array_distinct("centres")).alias("c"))
-    return edges.where("id != c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-
-
-def links(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) between classes; ``classes`` has ``id, n_shingles, bands, sig``, id a doc_id."""
+    members = classes.select("id", "component", F.explode("bands").alias("bucket"))
+    masks = [F.shiftrightunsigned(F.xxhash64("bucket", F.lit(draw), F.lit(k)), 2) for k in range(centres)]
+    drawn = members.groupBy("bucket").agg(
+        F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+        *(F.min(F.struct(F.col("id").bitwiseXOR(m).alias("x"), "component")).alias(f"_c{k}")
+          for k, m in enumerate(masks))).where("_lo < _hi")
+    drawn = drawn.select("bucket", F.array_distinct(F.array(*(
+        F.struct(F.col(f"_c{k}.x").bitwiseXOR(m).alias("id"), F.col(f"_c{k}.component").alias("component"))
+        for k, m in enumerate(masks)))).alias("centres"))
+    edges = members.join(drawn, "bucket").select("id", "component", F.explode("centres").alias("c"))
+    return edges.where("component != c.component").select(
+        F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
+
+
+def links(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT,
+          centres: int = CENTRES[0], draw: int = 0) -> DataFrame:
+    """Confirmed links (a, b) between components; ``classes`` has ``id, component, n_shingles, bands, sig``, id a
+    doc_id."""
     sig = classes.select("id", "sig", "n_shingles")
-    pairs = candidate_pairs(classes)
+    pairs = candidate_pairs(classes, centres, draw)
     for side in "ab":
         pairs = pairs.join(sig.select(F.col("id").alias(side), F.col("sig").alias("s" + side),
                                       F.col("n_shingles").alias("n" + side)), side)
@@ -162,8 +168,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # A doc_id with several texts joins their classes.
     same = rows.where("n_shingles > 0").select("doc_id", "f1", "f2").join(found, ["f1", "f2"]).where("doc_id != id")
     same = same.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
-    linked = links(docs, classes, words, percent).unionAll(same.select("lo", "hi"))
-    comp = components(linked)
+    linked, comp = same.select(F.col("lo").alias("a"), F.col("hi").alias("b")), None
+    for draw, centres in enumerate(CENTRES):
+        labelled = classes.withColumn("component", F.col("id")) if comp is None else classes.join(
+            comp, classes.id == comp.node, "left").withColumn("component", F.coalesce("component", "id"))
+        linked = linked.unionAll(links(docs, labelled, words, percent, centres, draw))
+        comp = components(linked)
     found = found.join(comp, found.id == comp.node, "left").select(
         "f1", "f2", F.coalesce("component", "id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "f1", "f2").join(found, ["f1", "f2"], "left")
