@@ -101,15 +101,13 @@ def comparison_score(metrics: DataFrame) -> DataFrame:
         + (F.lit(1.0) - _minmax("_time")) * 0.20).drop("_time")
 
 
-def agreement_matrix(recs: DataFrame, first_queries: int = 5) -> DataFrame:
-    """E-9: Jaccard % of the title sets of two models over the first queries.
+def agreement_matrix(recs: DataFrame) -> DataFrame:
+    """E-9: Jaccard % of the title sets of two models over all queries.
 
     Sets are joined on the title (equi-join), so the work is proportional to
-    shared titles; each model's set is bounded by ``first_queries × n``.
+    shared titles.
     """
-    qs = recs.select("query_id").distinct().orderBy("query_id").limit(first_queries)
-    sets = recs.join(F.broadcast(qs), "query_id", "left_semi").select("model", "title") \
-        .where(F.col("title").isNotNull()).distinct()
+    sets = recs.select("model", "title").where(F.col("title").isNotNull()).distinct()
     sizes = sets.groupBy("model").agg(F.count(F.lit(1)).alias("size"))
     a, b = sets.alias("a"), sets.alias("b")
     inter = (a.join(b, F.col("a.title") == F.col("b.title"))

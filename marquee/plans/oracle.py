@@ -271,8 +271,7 @@ SQL["q_comparison_score"] = METRICS + """
 SELECT model, round(coverage, 6) AS coverage, round(diversity, 6) AS diversity, round(avg_rating, 6) AS avg_rating,
        round(total_score, 6) AS total_score FROM compared"""
 SQL["q_agreement_matrix"] = ALL_RECS + """,
-firstq AS (SELECT DISTINCT query_id FROM recs ORDER BY query_id LIMIT 5),
-sets AS (SELECT DISTINCT model, title FROM recs WHERE query_id IN (SELECT query_id FROM firstq) AND title IS NOT NULL),
+sets AS (SELECT DISTINCT model, title FROM recs WHERE title IS NOT NULL),
 models AS (SELECT DISTINCT model FROM recs),
 sizes AS (SELECT model, count(*) AS size FROM sets GROUP BY model),
 inter AS (SELECT a.model AS model_a, b.model AS model_b, count(*) AS n_common
@@ -338,7 +337,7 @@ t AS (SELECT item_id, regexp_extract_all(lower(concat_ws(' ', genres_str, keywor
 SELECT item_id, CAST(len(t) AS INTEGER) AS n_tokens,
        CAST(len(list_filter(t, lambda x: NOT list_contains(""" + STOP_SQL + """, x))) AS INTEGER) AS n_kept FROM t"""
 SQL["q_ngrams"] = "WITH " + ITEMS + "," + _tokens_cte("ng", 2) + """
-SELECT term, count(*) AS n_total FROM ng_terms GROUP BY term ORDER BY n_total DESC, term LIMIT 100"""
+SELECT term, count(*) AS n_total FROM ng_terms GROUP BY term"""
 SQL["q_combined_text"] = "WITH " + FILMS + """
 SELECT item_id, concat_ws(' ', genres_str, keywords_str, director, cast_str, overview) AS text FROM films"""
 SQL["q_genre_multi_hot"] = "WITH " + FILMS + """

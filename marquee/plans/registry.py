@@ -313,8 +313,7 @@ def q_ngrams(spark, d):
     items = _items(spark, d)
     t = with_terms(items.select("item_id", combined_text(items).alias("text")), F.col("text"), "t", 2)
     ex = t.select("item_id", F.explode("t").alias("term"))
-    return (ex.groupBy("term").agg(F.count(F.lit(1)).alias("n_total"))
-            .orderBy(F.desc("n_total"), F.asc("term")).limit(100))
+    return ex.groupBy("term").agg(F.count(F.lit(1)).alias("n_total"))
 
 
 def q_combined_text(spark, d):
