@@ -38,22 +38,18 @@ ENGLISH_STOP_WORDS = [
 FEATURE_COLUMNS = ("genres_str", "keywords_str", "director", "cast_str", "overview")
 
 
-def combined_text(df: DataFrame, overview_chars: int | None = None) -> Column:
+def combined_text(df: DataFrame) -> Column:
     """S-6: genres, keywords, director, cast and overview joined by one blank.
 
     Columns missing from ``df`` are skipped (driver-side schema check), nulls
     are skipped by ``concat_ws`` and ``''`` is kept, as in the reference.
-    ``overview_chars`` cuts the overview (the pre-trained variant); the default
-    keeps the whole text.
+    The overview is always whole.
     """
     parts = []
     for name in FEATURE_COLUMNS:
         if name not in df.columns:
             continue
-        c = F.col(name).cast("string")
-        if name == "overview" and overview_chars is not None:
-            c = F.substring(c, 1, overview_chars)
-        parts.append(c)
+        parts.append(F.col(name).cast("string"))
     if not parts:
         return F.lit("")
     return F.concat_ws(" ", *parts)

@@ -3,8 +3,8 @@
 Spark ML has no MLP *regressor*.  Training is model averaging: each epoch is
 one Spark job in which every partition runs minibatch Adam over its rows,
 starting from the broadcast parameters and moments; partition results are
-weighted by row count and combined with ``treeReduce`` (so the driver
-receives one parameter vector, whatever the partition count).  A fixed 10 %
+weighted by row count and summed by block (so the driver receives one
+parameter vector, whatever the partition count).  A fixed 10 %
 of items (by hash of ``item_id``) is held out for early stopping on R².
 
 Network: ReLU hidden layers, identity output, squared loss with L2 penalty,
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, shuffle_partitions
+from .combine import sum_arrays
 
 
 def _shapes(n_in: int, hidden: tuple[int, ...]) -> list[tuple[int, int]]:
@@ -149,7 +150,7 @@ def fit_mlp(data: DataFrame, dim: int, hidden: tuple[int, ...] = (256, 128, 64),
     """Fit on sparse rows ``data(item_id, idx array<int>, val array<double>, label double)``.
 
     Returns (params, shapes, mu, sd, validation scores).  Inputs stay sparse in
-    storage and shuffles; each task densifies one minibatch at a time.
+    storage and shuffles; each task densifies one Arrow batch at a time.
     """
     spark = data.sparkSession
     buckets = int(round(1 / validation_fraction))
@@ -166,7 +167,7 @@ def fit_mlp(data: DataFrame, dim: int, hidden: tuple[int, ...] = (256, 128, 64),
     for epoch in range(max_iter + 1):
         b = spark.sparkContext.broadcast((theta, m, v, t))
         out = d.mapInPandas(_epoch_fn(b, shapes, mu, sd, lr, batch, alpha, epoch, seed), "blob binary")
-        tot = out.rdd.map(lambda r: np.frombuffer(r["blob"], dtype=np.float64)).treeReduce(np.add, depth=2)
+        tot = sum_arrays(out)
         b.unpersist()
         n_tr = tot[3 * p]
         sse, sy, sy2, n_val = tot[3 * p + 2:3 * p + 6]

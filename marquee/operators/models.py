@@ -150,6 +150,18 @@ def recommend_titles(fitted: FittedModel, catalog: DataFrame, titles: DataFrame,
     return attach_details(fitted.recommend(q, n), catalog, fitted.name)
 
 
+def recommend_by_name(fitted: dict[str, FittedModel], name: str, catalog: DataFrame, titles: DataFrame,
+                      n: int = 10) -> DataFrame:
+    """R-12 by model name: an unknown model gives an empty table."""
+    if name in fitted:
+        return recommend_titles(fitted[name], catalog, titles, n)
+    return attach_details(_no_recommendations(catalog.sparkSession), catalog, name)
+
+
+def _no_recommendations(spark) -> DataFrame:
+    return spark.createDataFrame([], "query_id long, rank int, item_id long, similarity_score double")
+
+
 def compare(catalog: DataFrame, queries: DataFrame, names: list[str] | None = None, n: int = 10,
             params: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """E-2, E-17, E-19, E-20: fit and query every model; measured times, failures recorded.
@@ -174,6 +186,8 @@ def compare(catalog: DataFrame, queries: DataFrame, names: list[str] | None = No
             rows.append((name, order, None, None, f"error: {type(e).__name__}: {e}"[:500]))
     timings = spark.createDataFrame(rows, "model string, model_order int, fit_seconds double, "
                                           "recommend_seconds double, status string")
+    if recs is None:
+        recs = attach_details(_no_recommendations(spark), catalog, "")
     return recs, timings
 
 
@@ -189,28 +203,27 @@ def save_models(fitted: dict[str, FittedModel], path: str) -> None:
             fm.predictions.write.mode("overwrite").parquet(base + "/predictions")
         if fm.factors is not None:
             fm.factors.write.mode("overwrite").parquet(base + "/factors")
-        meta = {"name": name, "params": fm.params, "fit_seconds": fm.fit_seconds, "n_items": fm.n_items}
+        meta = {"name": name, "params": fm.params, "fit_seconds": fm.fit_seconds, "n_items": fm.n_items,
+                "tfidf": fm.tfidf is not None}
         spark = (fm.tfidf.vocab if fm.tfidf is not None else fm.predictions).sparkSession
         spark.createDataFrame([(json.dumps(meta, default=str),)], "meta string") \
             .write.mode("overwrite").json(base + "/meta")
 
 
 def load_models(spark, path: str, names: list[str] | None = None) -> dict[str, FittedModel]:
-    """IO-6: read what ``save_models`` wrote; a missing model directory raises."""
+    """IO-6: read what ``save_models`` wrote; a missing model directory or table raises."""
     from .tfidf import TfidfModel
     out = {}
     for name in names or list(MODEL_NAMES):
         base = f"{path.rstrip('/')}/{name}"
         meta = json.loads(spark.read.json(base + "/meta").first()["meta"])
         fm = FittedModel(name, meta["params"], meta["fit_seconds"], meta["n_items"])
-        try:
+        if meta["tfidf"]:
             vocab = spark.read.parquet(base + "/vocab")
             weights = spark.read.parquet(base + "/weights")
             norms = spark.read.parquet(base + "/item_norms")
             fm.tfidf = TfidfModel(vocab, weights, norms, norms.select(F.count(F.lit(1))).scalar(),
                                   meta["params"].get("max_features", 0), meta["params"].get("ngram_max", 1))
-        except Exception:  # noqa: BLE001 - value-based models may store predictions only
-            pass
         if name in ("random_forest", "linear", "neural"):
             fm.predictions = spark.read.parquet(base + "/predictions")
         if name == "svd":

@@ -63,79 +63,70 @@ def genre_distribution_text(df: DataFrame, text_col: str = "genres_str", top: in
     return counts.orderBy(F.desc("n_items"), F.asc("genre")).limit(top).where(F.col("genre") != "")
 
 
-MAX_COLLECT = 100_000      # values a quantile search may bring to the driver
 APPROX_ACCURACY = 10_000
 
 
-def _kth(values: DataFrame, k: int, n: int):
-    """Exact k-th smallest (0-based) of column ``v`` without a global sort.
+def _order_statistics(values: DataFrame, ranks: set[int], n: int) -> dict[int, float]:
+    """Exact k-th smallest (0-based) of column ``v`` for every rank k, without a global sort or a collect of values.
 
-    ``percentile_approx`` brackets rank k (rank error ≤ m/accuracy); counts
-    below/at the bracket ends locate it; the bracket shrinks (by about the
-    sketch accuracy per round) until it holds at most ``MAX_COLLECT`` values,
-    which are then collected and sorted, or rank k falls on a bracket end
-    (a tied value, however many rows share it).  Every round is two
-    aggregation jobs; no task holds more than the sketch.
+    ``percentile_approx`` brackets each rank; counts below and at the bracket
+    ends tell whether an end is the value sought (a tied value, however many
+    rows share it) or in which part the rank lies.  A bracket shrinks by about
+    the sketch accuracy per round.  All ranks share a round's two aggregation
+    jobs; no task holds more than the sketches.
     """
-    lo = hi = None               # bracket: lo < v < hi (None = unbounded)
-    offset, m = 0, n             # values below the bracket, values inside
-    for _ in range(64):
-        inside = values
-        if lo is not None:
-            inside = inside.where(F.col("v") > lo)
-        if hi is not None:
-            inside = inside.where(F.col("v") < hi)
-        r = k - offset
-        if m <= MAX_COLLECT:
-            return sorted(row[0] for row in inside.collect())[r]
-        t = r / (m - 1)
-        eps = 2.0 / APPROX_ACCURACY
-        a, b = inside.agg(F.percentile_approx("v", [max(0.0, t - eps), min(1.0, t + eps)],
-                                              APPROX_ACCURACY).alias("q")).first()["q"]
-        c = inside.agg(F.count_if(F.col("v") < a).alias("lt_a"), F.count_if(F.col("v") <= a).alias("le_a"),
-                       F.count_if(F.col("v") < b).alias("lt_b"), F.count_if(F.col("v") <= b).alias("le_b")).first()
-        if c["lt_a"] <= r < c["le_a"]:
-            return a
-        if c["lt_b"] <= r < c["le_b"]:
-            return b
-        if r < c["lt_a"]:
-            hi, m = a, c["lt_a"]
-        elif r < c["lt_b"]:
-            lo, hi, offset, m = a, b, offset + c["le_a"], c["lt_b"] - c["le_a"]
-        else:
-            lo, offset, m = b, offset + c["le_b"], m - c["le_b"]
-    raise RuntimeError("quantile search did not converge")
+    v = F.col("v")
+    eps = 2.0 / APPROX_ACCURACY
+    found: dict[int, float] = {}
+    brackets = {k: (None, None, 0, n) for k in ranks}    # lo < v < hi; values up to lo, values below hi
+    while brackets:
+        asked = []
+        for k, (lo, hi, below, upto) in brackets.items():
+            inside = F.lit(True)
+            if lo is not None:
+                inside = inside & (v > lo)
+            if hi is not None:
+                inside = inside & (v < hi)
+            t = (k - below) / max(upto - below - 1, 1)
+            asked.append(F.percentile_approx(F.when(inside, v), [max(0.0, t - eps), min(1.0, t + eps)],
+                                             APPROX_ACCURACY).alias(f"q{k}"))
+        ends = values.agg(*asked).first()
+        counts = values.agg(*(c for k in brackets for i, x in enumerate(ends[f"q{k}"])
+                              for c in (F.count_if(v < x).alias(f"lt{k}_{i}"),
+                                        F.count_if(v <= x).alias(f"le{k}_{i}")))).first()
+        shrunk = {}
+        for k, (lo, hi, below, upto) in brackets.items():
+            a, b = ends[f"q{k}"]
+            lt_a, le_a, lt_b, le_b = (counts[f"{c}{k}_{i}"] for i in (0, 1) for c in ("lt", "le"))
+            if lt_a <= k < le_a:
+                found[k] = a
+            elif lt_b <= k < le_b:
+                found[k] = b
+            elif k < lt_a:
+                shrunk[k] = (lo, a, below, lt_a)
+            elif k < lt_b:
+                shrunk[k] = (a, b, le_a, lt_b)
+            else:
+                shrunk[k] = (b, hi, le_b, upto)
+        brackets = shrunk
+    return found
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], n: int | None = None) -> tuple[int, list]:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule).
-
-    Up to ``MAX_COLLECT`` values are sorted on the driver in one collect;
-    larger columns use the distributed k-th value search per needed rank.
-    """
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule), by one search for all needed ranks."""
     values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     if n is None:
         n = values.count()
     if n == 0:
         return 0, [None] * len(probs)
-    if n <= MAX_COLLECT:
-        srt = sorted(r[0] for r in values.collect())
-
-        def at(i):
-            return srt[i]
-    else:
-        cache: dict = {}
-
-        def at(i):
-            if i not in cache:
-                cache[i] = _kth(values, i, n)
-            return cache[i]
+    places = [(n - 1) * p for p in probs]
+    at = _order_statistics(values, {min(int(x) + up, n - 1) for x in places for up in ((0, 1) if x > int(x) else (0,))},
+                           n)
     out = []
-    for p in probs:
-        pos = (n - 1) * p
+    for pos in places:
         r1 = int(pos)
-        v1 = at(r1)
-        v2 = v1 if pos == r1 else at(min(r1 + 1, n - 1))
+        v1 = at[r1]
+        v2 = v1 if pos == r1 else at[min(r1 + 1, n - 1)]
         out.append(v1 + (v2 - v1) * (pos - r1))
     return n, out
 

@@ -2,7 +2,7 @@
 
 1. One distributed pass builds the Gramian ``XᵀX`` (vocabulary × vocabulary,
    bounded by ``max_features``): each partition accumulates the sparse outer
-   products of its rows and the partial matrices are tree-reduced.
+   products of its rows and the partial matrices are summed by block.
 2. ``numpy.linalg.eigh`` on the driver gives the right singular vectors
    ``V`` and ``σ² = λ``; the matrix is sized by the vocabulary, not the data.
 3. Item factors ``X·V_k`` (rows of ``UΣ``, what the reference's transformer
@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .combine import sum_arrays
 from .tfidf import TfidfModel
 
 
@@ -42,8 +43,6 @@ def sparse_rows(model: TfidfModel) -> DataFrame:
 
 
 def _gram_fn(dim: int):
-    iu = np.triu_indices(dim)
-
     def fn(batches):
         g = np.zeros((dim, dim))
         for pdf in batches:
@@ -53,18 +52,17 @@ def _gram_fn(dim: int):
                 ix = np.asarray(idx, dtype=np.int64)
                 v = np.asarray(val, dtype=np.float64)
                 g[np.ix_(ix, ix)] += np.outer(v, v)      # k² updates for k non-zeros
-        yield pd.DataFrame({"g": [g[iu].tobytes()]})
+        yield pd.DataFrame({"g": [g[np.triu_indices(dim)].tobytes()]})
     return fn
 
 
 def gramian(rows: DataFrame, dim: int) -> np.ndarray:
     """``XᵀX``: per-row sparse outer products accumulated per partition, packed
-    upper triangles combined with ``treeReduce`` — the driver receives one
+    upper triangles summed by block (``sum_arrays``) — the driver receives one
     vocabulary × vocabulary matrix whatever the number of partitions."""
     parts = rows.select("idx", "val").mapInPandas(_gram_fn(dim), "g binary")
-    packed = parts.rdd.map(lambda r: np.frombuffer(r["g"], dtype=np.float64)).treeReduce(np.add, depth=2)
     g = np.zeros((dim, dim))
-    g[np.triu_indices(dim)] = packed
+    g[np.triu_indices(dim)] = sum_arrays(parts)
     return g + np.triu(g, 1).T
 
 

@@ -40,54 +40,41 @@ class TfidfModel:
     tf: DataFrame | None = None     # item_id, term, tf (clustered by item_id)
 
 
-def item_terms(items: DataFrame, ngram_max: int = 1, overview_chars: int | None = None,
-               partitions: int | None = None) -> DataFrame:
+def item_terms(items: DataFrame, ngram_max: int = 1, partitions: int | None = None) -> DataFrame:
     """(item_id, terms) with the text clustered by ``item_id``.
 
     The partition count is explicit (default: ``spark.sql.shuffle.partitions``)
     so AQE does not coalesce the text shuffle into a few tasks: the work after
     it (regex tokenising) is heavy relative to the bytes moved.
     """
-    docs = items.select("item_id", combined_text(items, overview_chars).alias("text"))
+    docs = items.select("item_id", combined_text(items).alias("text"))
     docs = docs.repartition(partitions or shuffle_partitions(items.sparkSession), "item_id")
     return with_terms(docs, F.col("text"), "terms", ngram_max).select("item_id", "terms")
 
 
-MAX_PRUNE_TERMS = 200_000   # frequent-unigram set shipped as a hash-set literal
-
-
 def pruned_item_terms(items: DataFrame, max_features: int, ngram_max: int = 1,
-                      overview_chars: int | None = None, partitions: int | None = None) -> DataFrame | None:
+                      partitions: int | None = None) -> DataFrame:
     """(item_id, terms) keeping only terms that can still reach the vocabulary.
 
-    Let T be the smallest count among the ``max_features`` most frequent
-    unigrams.  The vocabulary's last count over *all* terms is at least T, and
-    a bigram occurs at most as often as either of its words, so a unigram
-    counted fewer than T times, or a bigram containing one, can never be in
-    the vocabulary (ties at T are kept).  Dropping them before the per-item
-    aggregation is exact.  Returns None when the frequent set is too large to
-    ship as a literal (then the caller keeps every term).
+    Let ``top`` be the ``max_features`` first unigrams in the vocabulary's own
+    order (count, then term).  Any other unigram has all of ``top`` before it.
+    So has a bigram whose first word is not in ``top``: it is no more frequent
+    than that word, and longer, so it sorts after it.  Dropping these before
+    the per-item aggregation is exact.  ``top`` is bounded by the parameter,
+    like the vocabulary itself.
     """
-    uni = item_terms(items, 1, overview_chars, partitions)
-    uni = cut_lineage(uni)
-    counts = cut_lineage(uni.select(F.explode("terms").alias("term")).groupBy("term")
-                         .agg(F.count(F.lit(1)).alias("n")))     # read twice below
-    top = counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
-    threshold = top.agg(F.min("n")).scalar()
-    frequent = counts.where(F.col("n") >= threshold).select("term")
-    rows = frequent.limit(MAX_PRUNE_TERMS + 1).collect()
-    if len(rows) > MAX_PRUNE_TERMS:
-        return None
-    keep = [r["term"] for r in rows]
-    if not keep:
+    uni = cut_lineage(item_terms(items, 1, partitions))
+    counts = uni.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    top = [r["term"] for r in counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features).collect()]
+    if not top:
         return uni.select("item_id", F.array().cast("array<string>").alias("terms"))
     u = F.col("terms")
-    kept = F.filter(u, lambda x: x.isin(keep))
+    kept = F.filter(u, lambda x: x.isin(top))
     if ngram_max >= 2:
         n = F.size(u)
         pairs = F.when(n >= 2, F.zip_with(
             F.slice(u, 1, n - 1), F.slice(u, 2, n - 1),
-            lambda a, b: F.when(a.isin(keep) & b.isin(keep), F.concat(a, F.lit(" "), b))))
+            lambda a, b: F.when(a.isin(top), F.concat(a, F.lit(" "), b))))
         kept = F.concat(kept, F.coalesce(F.filter(pairs, lambda x: x.isNotNull()),
                                          F.array().cast("array<string>")))
     return uni.select("item_id", kept.alias("terms"))
@@ -116,8 +103,8 @@ def vocabulary(tf: DataFrame, max_features: int | None, n_docs: Column) -> DataF
 
 
 def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int = 2,
-              variant: str = "smooth", overview_chars: int | None = None,
-              partitions: int | None = None, materialize: bool = True, prune: bool = True) -> TfidfModel:
+              variant: str = "smooth", partitions: int | None = None, materialize: bool = True,
+              prune: bool = True) -> TfidfModel:
     """F-2: fit vocabulary and weights over the whole catalogue.
 
     With ``materialize`` the term frequencies and the weights are written
@@ -127,11 +114,10 @@ def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int
     vocabulary) terms that provably cannot enter the vocabulary are dropped
     before the per-item aggregation (see ``pruned_item_terms``).
     """
-    doc_terms = None
     if max_features and prune and ngram_max >= 2:
-        doc_terms = pruned_item_terms(items, max_features, ngram_max, overview_chars, partitions)
-    if doc_terms is None:
-        doc_terms = item_terms(items, ngram_max, overview_chars, partitions)
+        doc_terms = pruned_item_terms(items, max_features, ngram_max, partitions)
+    else:
+        doc_terms = item_terms(items, ngram_max, partitions)
     n_docs = items.select(F.count(F.lit(1))).scalar()
     tf = term_frequencies(doc_terms)
     if materialize:
@@ -167,8 +153,7 @@ def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int
                       max_features=max_features or 0, ngram_max=ngram_max, tf=tf)
 
 
-def tfidf_vectors(model: TfidfModel, items: DataFrame, out_col: str = "tfidf",
-                  overview_chars: int | None = None) -> DataFrame:
+def tfidf_vectors(model: TfidfModel, items: DataFrame, out_col: str = "tfidf") -> DataFrame:
     """F-2 vector form: (item_id, SparseVector) from the fitted vocabulary.
 
     Uses the ML feature transformers (CountVectorizerModel → ElementwiseProduct
@@ -191,7 +176,7 @@ def tfidf_vectors(model: TfidfModel, items: DataFrame, out_col: str = "tfidf",
         docs = (model.item_norms.select("item_id").join(bags, "item_id", "left")
                 .select("item_id", F.coalesce("terms", F.array().cast("array<string>")).alias("terms")))
     else:
-        docs = with_terms(items.select("item_id", combined_text(items, overview_chars).alias("text")),
+        docs = with_terms(items.select("item_id", combined_text(items).alias("text")),
                           F.col("text"), "terms", model.ngram_max).select("item_id", "terms")
     cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="terms", outputCol="_tf")
     ep = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_raw")
@@ -205,13 +190,13 @@ def genre_multi_hot(df: DataFrame, list_col: str = "genres_list") -> DataFrame:
             .withColumn("flag", F.lit(1)))
 
 
-def transform_items(model: TfidfModel, items: DataFrame, overview_chars: int | None = None) -> DataFrame:
+def transform_items(model: TfidfModel, items: DataFrame) -> DataFrame:
     """Weights of (new) items under a fitted vocabulary and idf: (item_id, term, weight, l1).
 
     Used to vectorise items that arrive after the fit without refitting; the
     vocabulary is bounded by ``max_features`` and broadcast.
     """
-    docs = items.select("item_id", combined_text(items, overview_chars).alias("text"))
+    docs = items.select("item_id", combined_text(items).alias("text"))
     dt = with_terms(docs, F.col("text"), "terms", model.ngram_max).select("item_id", "terms")
     tf = term_frequencies(dt)
     j = tf.join(F.broadcast(model.vocab.select("term", "idf")), "term")

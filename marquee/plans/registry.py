@@ -147,13 +147,17 @@ def q_fit_metadata(spark, d):
 
 
 def q_model_comparison(spark, d):
-    """E-2, E-8, E-17, E-19, E-20 with measured times: all six models, one comparison table."""
+    """E-2, E-8, E-17, E-19, E-20 with measured times: all six models, one comparison table.
+
+    A model that failed has its row too, with the error as its status and no scores.
+    """
     items = _items(spark, d)
     recs, timings = models.compare(items, _queries(items), n=N_RECS)
     ok = timings.where(F.col("status") == "ok")
     m = evaluate.model_metrics(recs, items).join(F.broadcast(ok), "model")
     scored = evaluate.comparison_score(m)
-    return scored.select("model", "fit_seconds", "recommend_seconds", F.round("coverage", 6).alias("coverage"),
+    scored = timings.select("model", "status").join(scored.drop("status"), "model", "left")
+    return scored.select("model", "status", "fit_seconds", "recommend_seconds", F.round("coverage", 6).alias("coverage"),
                          F.round("diversity", 6).alias("diversity"), F.round("avg_rating", 6).alias("avg_rating"),
                          F.round("precision", 6).alias("precision"), F.round("total_score", 6).alias("total_score"))
 

@@ -98,6 +98,21 @@ def test_compare_records_failures(spark):
                                                                                   n_components=500)})
     st = {r["model"]: r["status"] for r in timings.collect()}
     assert st["knn"] == "ok" and recs.where("model = 'knn'").count() == 6
+    # An SVD without a bounded vocabulary fails; the other model goes on.
+    recs, timings = models.compare(cat, q, ["svd", "knn"], 3, params={"knn": dict(max_features=20, ngram_max=1),
+                                                                      "svd": dict(max_features=0, n_components=5)})
+    st = {r["model"]: r["status"] for r in timings.collect()}
+    assert st["svd"].startswith("error: ValueError") and st["knn"] == "ok"
+    assert {r["model"] for r in recs.collect()} == {"knn"}
+    titles = cat.select("title").limit(1)
+    assert models.recommend_by_name({}, "no such model", cat, titles).count() == 0
+
+
+def test_sums_of_many_partitions(spark):
+    from marquee.operators.combine import sum_arrays
+    parts = spark.range(0, 200, 1, 100).selectExpr("id").mapInPandas(
+        lambda batches: (x[["id"]].assign(g=[np.arange(70.0).tobytes()] * len(x))[["g"]] for x in batches), "g binary")
+    assert np.array_equal(sum_arrays(parts), 200 * np.arange(70.0))
 
 
 def test_forest_predictions_and_importance_names(spark):

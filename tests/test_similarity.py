@@ -103,6 +103,8 @@ def test_dense_matches_numpy(spark, metric):
             s = 1 - np.abs(X - X[qi]).sum(1)
         order = sorted([i for i in range(40) if i != qi], key=lambda i: (-round(s[i], 9), i))[:5]
         assert [r["item_id"] for r in got if r["query_id"] == qi] == order
+    blocks = recommend_dense(df.repartition(4), q, 5, metric, block=1).orderBy("query_id", "rank").collect()
+    assert blocks == got
 
 
 def test_nearest_by_value_with_ties_and_hot_bucket(spark):
@@ -120,6 +122,16 @@ def test_nearest_by_value_with_ties_and_hot_bucket(spark):
         assert [(r["item_id"], r["similarity_score"]) for r in got if r["query_id"] == qi] == want
 
 
+def test_nearest_by_value_with_an_outlier(spark):
+    vals = [i * 0.37 % 1.0 for i in range(200)] + [1e12]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "item_id long, prediction double")
+    q = spark.createDataFrame([(0,), (77,), (200,)], "query_id long")
+    got = nearest_by_value(df.repartition(3), q, 5, bins=16).orderBy("query_id", "rank").collect()
+    for qi in (0, 77, 200):
+        want = sorted((round(abs(v - vals[qi]), 9), i) for i, v in enumerate(vals) if i != qi)[:5]
+        assert [r["item_id"] for r in got if r["query_id"] == qi] == [i for _, i in want]
+
+
 def test_nearest_by_value_constant_predictions(spark):
     df = spark.createDataFrame([(i, 3.0) for i in range(5)], "item_id long, prediction double")
     q = spark.createDataFrame([(2,)], "query_id long")
