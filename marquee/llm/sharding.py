@@ -3,7 +3,8 @@
 Method.  Documents with the same text form a group that stays together.  Groups go, largest first, to the least-loaded
 shard of a heap.  The heap runs on size classes: sizes with the same leading 11 bits share a class, so there are at
 most about 50,000 classes at any corpus size, sizes below 2,048 are exact and larger ones within 0.1 percent.  A
-class's groups are dealt in one go: full rounds by arithmetic, what is left over by the heap.  Which group of a class
+class's groups are dealt in one go: full rounds by arithmetic over the shards that lie below the level they reach,
+what is left over by the heap.  Which group of a class
 goes where follows from a distributed numbering.
 
 Defined results: null text counts as the empty one (size 8, crc 0) and shares its group; repeated rows are rows of
@@ -29,17 +30,16 @@ def longest_first(classes: list[tuple[int, int, int]], shards: int) -> np.ndarra
     groups go to this shard."""
     load, rows = [0.0] * shards, []
     for cls, n, total in sorted(classes, reverse=True):
-        mean, given = total / n, [0] * shards
-        if n > 4 * shards:
-            # Full rounds: raise all shards to a level that n groups cannot exceed.
-            level = (sum(load) + total) / shards - shards * mean
-            for k in range(shards):
-                given[k] = max(0, int((level - load[k]) // mean))
-            over = sum(given) - n
-            for k in sorted(range(shards), key=lambda k: -given[k]):
-                less = min(given[k], max(0, over))
-                given[k] -= less
-                over -= less
+        mean, at_least = total / n, sorted(load)
+        # Full rounds: the level that the class fills the shards below it to.  One group less each, so that rounding
+        # never deals more than n; the heap would have put all of these there as well.
+        level, below = 0.0, 0.0
+        for m, least in enumerate(at_least, 1):
+            below += least
+            level = (below + total) / m
+            if m == shards or level <= at_least[m]:
+                break
+        given = [max(0, int((level - x) // mean) - 1) for x in load]
         heap = [(load[k] + given[k] * mean, k) for k in range(shards)]
         heapq.heapify(heap)
         for _ in range(n - sum(given)):
