@@ -3,10 +3,10 @@
 Method.  A document's set holds the hashes of its distinct word shingles.  One permutation hash deals the set to
 ``BINS`` bins and keeps each bin's least value; an empty bin takes the value of the first filled bin in an order drawn
 for it (optimal densification).  ``BANDS`` bands of ``ROWS`` bins give buckets.  Documents with equal sets are one
-class, whatever their number.  In a bucket each class is joined to a few centres drawn from the bucket (stars, so a
-bucket gives a few pairs per member, never all pairs).  Pairs whose signatures agree in too few bins are left out, with
-a margin of over four standard deviations; the others are confirmed on full sets.  Links form components.  A second
-round draws more centres in the buckets that still hold several components and tries only pairs across them.
+class, whatever their number.  In a bucket each class is joined to a few centres drawn from the bucket (stars).  Pairs
+whose signatures agree in too few bins are left out, with a margin of over four standard deviations; the others are
+confirmed on full sets.  Links form components.  The second round takes the buckets that still hold
+several components and tries every pair across them, by blocks of signatures.
 
 At a similarity of 0.8 two documents miss each other in all bands with probability 5e-5.  Hashes of words and shingles
 have 64 bits, set fingerprints 128.
@@ -30,7 +30,8 @@ from .words import hashed_texts, mix, slices
 WORDS = 4
 PERCENT = 80
 BINS, BANDS, ROWS = 128, 25, 5
-CENTRES = (3, 10)            # per bucket, in the first and the second round
+CENTRES = 3                  # per bucket, in the first round
+BLOCK = 1024                 # members of a bucket compared at once in the second round
 AGREE = 0.64                 # least share of equal bins of a pair that is worth the exact test
 
 
@@ -100,14 +101,14 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
         run, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary")
 
 
-def candidate_pairs(classes: DataFrame, centres: int, draw: int = 0) -> DataFrame:
+def candidate_pairs(classes: DataFrame, centres: int) -> DataFrame:
     """Star edges (a, b), a < b, between different components of ``classes(id, component, bands)``, each pair once.
 
     A centre is the member whose id is least after flipping the bits of a hash of the bucket (another one for each
-    centre and ``draw``): found by a combining minimum, without bringing the bucket together.
+    centre): found by a combining minimum, without bringing the bucket together.
     """
     members = classes.select("id", "component", F.explode("bands").alias("bucket"))
-    masks = [F.shiftrightunsigned(F.xxhash64("bucket", F.lit(draw), F.lit(k)), 2) for k in range(centres)]
+    masks = [F.shiftrightunsigned(F.xxhash64("bucket", F.lit(0), F.lit(k)), 2) for k in range(centres)]
     drawn = members.groupBy("bucket").agg(
         F.min("component").alias("_lo"), F.max("component").alias("_hi"),
         *(F.min(F.struct(F.col("id").bitwiseXOR(m).alias("x"), "component")).alias(f"_c{k}")
@@ -120,12 +121,11 @@ def candidate_pairs(classes: DataFrame, centres: int, draw: int = 0) -> DataFram
         F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT,
-          centres: int = CENTRES[0], draw: int = 0) -> DataFrame:
-    """Confirmed links (a, b) between components; ``classes`` has ``id, component, n_shingles, bands, sig``, id a
-    doc_id."""
+def star_pairs(classes: DataFrame, percent: int = PERCENT, centres: int = CENTRES) -> DataFrame:
+    """Pairs (a, b) of the stars that agree in enough bins; ``classes`` has ``id, component, n_shingles, bands, sig``,
+    id a doc_id."""
     sig = classes.select("id", "sig", "n_shingles")
-    pairs = candidate_pairs(classes, centres, draw)
+    pairs = candidate_pairs(classes, centres)
     for side in "ab":
         pairs = pairs.join(sig.select(F.col("id").alias(side), F.col("sig").alias("s" + side),
                                       F.col("n_shingles").alias("n" + side)), side)
@@ -139,7 +139,72 @@ def links(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int
                 keep = pa.array((x == y).mean(axis=1) >= AGREE)
                 yield batch.select(["a", "b"]).filter(keep)
 
-    pairs = stored(pairs.select("a", "b", "sa", "sb").mapInArrow(agreeing, "a long, b long"), "pairs")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(agreeing, "a long, b long")
+
+
+def _across(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """Agreeing pairs between components within each group of neighbouring rows, in their first common bucket only."""
+    cols = {c: rows.column(c).to_numpy() for c in ("band", "bucket", "i", "j", "own", "id", "component", "n_shingles")}
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, BINS)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    group = np.cumsum(_starts(rows))
+    ids, comp, own, n = (cols[c] for c in ("id", "component", "own", "n_shingles"))
+    whole, found = cols["i"] == cols["j"], []
+    for d in range(1, int(np.bincount(group).max(initial=0))):
+        x = np.flatnonzero((group[d:] == group[:-d]) & (comp[d:] != comp[:-d]) & (whole[d:] | (own[d:] != own[:-d])))
+        y = x + d
+        fine = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        x, y = x[fine], y[fine]
+        fine = (sig[x] == sig[y]).mean(axis=1) >= AGREE
+        x, y = x[fine], y[fine]
+        fine = (bands[x] == bands[y]).argmax(axis=1) == cols["band"][x]
+        found.append((ids[x[fine]], ids[y[fine]]))
+    a, b = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _starts(rows: pa.Table) -> np.ndarray:
+    """Whether a row's block differs from that of the row before."""
+    out = np.ones(rows.num_rows, bool)
+    out[1:] = np.any([x[1:] != x[:-1] for x in (rows.column(c).to_numpy() for c in ("band", "bucket", "i", "j"))], axis=0)
+    return out
+
+
+def open_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All pairs (a, b) between different components that share a bucket and agree in enough bins, each once.
+
+    A bucket of several blocks sends a member to every pair of blocks that its own is in, so no task has more than two
+    blocks of a bucket at once.
+    """
+    members = classes.select("id", "component", F.posexplode("bands").alias("band", "bucket"))
+    several = members.groupBy("band", "bucket").agg(
+        F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("_lo < _hi").drop("_lo", "_hi")
+    rows = members.drop("component").join(several, ["band", "bucket"]).join(classes, "id")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "bucket", F.least("k", "own").alias("i"), F.greatest("k", "own").alias("j"), "own",
+        "id", "component", "n_shingles", "bands", "sig")
+    rows = rows.repartition("band", "bucket", "i", "j").sortWithinPartitions("band", "bucket", "i", "j")
+
+    def across(batches):
+        rest = None
+        for batch in batches:
+            here = pa.Table.from_batches([batch])
+            here = here if rest is None else pa.concat_tables([rest, here])
+            cut = int(np.flatnonzero(_starts(here))[-1]) if here.num_rows else 0
+            rest = here.slice(cut)
+            if cut:
+                yield _across(here.slice(0, cut), percent)
+        if rest is not None and rest.num_rows:
+            yield _across(rest, percent)
+
+    return rows.mapInArrow(across, "a long, b long")
+
+
+def links(docs: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The ``pairs`` (a, b) that full sets confirm."""
+    pairs = stored(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def sets(batches):
@@ -168,12 +233,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # A doc_id with several texts joins their classes.
     same = rows.where("n_shingles > 0").select("doc_id", "f1", "f2").join(found, ["f1", "f2"]).where("doc_id != id")
     same = same.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
-    linked, comp = same.select(F.col("lo").alias("a"), F.col("hi").alias("b")), None
-    for draw, centres in enumerate(CENTRES):
-        labelled = classes.withColumn("component", F.col("id")) if comp is None else classes.join(
-            comp, classes.id == comp.node, "left").withColumn("component", F.coalesce("component", "id"))
-        linked = linked.unionAll(links(docs, labelled, words, percent, centres, draw))
-        comp = components(linked)
+    linked = same.select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionAll(
+        links(docs, star_pairs(classes.withColumn("component", F.col("id")), percent), words, percent))
+    comp = components(linked)
+    labelled = stored(classes.join(comp, classes.id == comp.node, "left").select(
+        "id", F.coalesce("component", "id").alias("component"), "n_shingles", "bands", "sig"), "labelled")
+    # What the first round has linked is kept as edges to the least member.
+    comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(
+        links(docs, open_pairs(labelled, percent), words, percent)))
     found = found.join(comp, found.id == comp.node, "left").select(
         "f1", "f2", F.coalesce("component", "id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "f1", "f2").join(found, ["f1", "f2"], "left")
