@@ -230,10 +230,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = stored(rows.where("n_shingles > 0 and doc_id is not null")
                      .groupBy("f1", "f2", "n_shingles", "bands", "sig").agg(F.min("doc_id").alias("id")), "classes")
     found = classes.select("f1", "f2", "id")
-    # A doc_id with several texts joins their classes.
-    same = rows.where("n_shingles > 0").select("doc_id", "f1", "f2").join(found, ["f1", "f2"]).where("doc_id != id")
-    same = same.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
-    linked = same.select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionAll(
+    # A doc_id with several texts joins all their classes to the least one.
+    same = rows.where("n_shingles > 0 and doc_id is not null").select("doc_id", "f1", "f2").join(found, ["f1", "f2"])
+    several = same.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi")
+    same = same.select("doc_id", "id").join(several.select("doc_id", "lo"), "doc_id").where("id != lo").distinct()
+    linked = same.select(F.col("lo").alias("a"), F.col("id").alias("b")).unionAll(
         links(docs, star_pairs(classes.withColumn("component", F.col("id")), percent), words, percent))
     comp = components(linked)
     labelled = stored(classes.join(comp, classes.id == comp.node, "left").select(

@@ -51,3 +51,13 @@ def test_blocks_of_a_bucket_meet(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = sorted((r[0], r[2], r[3]) for r in brute.near_duplicates(rows))
     assert got(minhash.near_duplicates(df)) == want
+
+
+def test_all_texts_of_a_doc_id_are_joined(spark):
+    """Also when the document names one of its classes itself, and when it has three."""
+    one, two, three, four = ("first words alone", "second text here", "third kind of text", "fourth and last")
+    rows = [(1, one), (2, one), (2, two), (3, two), (11, one + " x"), (12, three), (13, four), (20, one + " x"),
+            (20, three), (20, four)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(minhash.near_duplicates(df)) == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), (
+        11, 11, True), (12, 11, False), (13, 11, False), *[(20, 11, False)] * 3]
