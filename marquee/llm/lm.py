@@ -5,8 +5,8 @@ is not 2 train it, the others are held out.
 
 1. All words of the training documents are counted (combined per batch, then by a shuffle).  Subword counts follow
    from the word counts, since the tokenizer never joins across white space; they give the token classes.
-2. Whole training documents with a hashed id divisible by ``TRAIN_EVERY`` are cut into windows.  In each round every
-   partition trains from the common parameters, and the partitions' parameters are averaged by a Spark aggregation
+2. All training documents are cut into windows.  Each window is in one of the rounds, dealt by a hash, so the rounds
+   together are one pass over the training text.  In each round every partition trains from the common parameters, and the partitions' parameters are averaged by a Spark aggregation
    (as many numbers as the model has).
 3. One pass over all documents computes the model's score and the sum over frequent words.  The words' counts are at
    hand for at most ``KNOWN`` words of at most ``KNOWN_BYTES`` bytes; all other words meet their counts in a join, in
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from . import attention, bpe
 from .common import parallelism, stored
 
-TRAIN_EVERY = 64
+TRAIN_EVERY = 1              # all training documents
 STEPS, BATCH = 40, 64
-RATES = (0.02, 0.012, 0.006, 0.002)       # one round each
+RATES = (0.02, 0.012, 0.006, 0.002)       # one round each, a share of the windows each
 KNOWN, KNOWN_BYTES = 100_000, 64
 END_WORD = b""               # a word is never empty, so this stands for the end of a text
 SLICE = 300
@@ -106,10 +106,11 @@ def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_
     windows = chosen.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         cut, "doc_id long, place long, window binary")
     # Dealt evenly, in a fixed order: a lost partition trains the same model again.
+    turn = F.pmod(F.xxhash64("doc_id", "place", "window"), F.lit(len(RATES))).cast("int")
     windows = stored(windows.repartition(parallelism(docs.sparkSession), "doc_id", "place").select(
-        "doc_id", "place", "window"), "windows")
+        "doc_id", "place", "window", turn.alias("turn")), "windows")
     params = attention.new_params()
-    for rate in RATES:
+    for turn, rate in enumerate(RATES):
 
         def fit(batches, params=params, rate=rate):
             # A partition's windows come in bounded batches; each goes on from where the last one ended.
@@ -125,10 +126,10 @@ def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_
                     [pa.array(np.arange(len(w))), pa.array(w.astype(np.float64) * n), pa.array(np.full(len(w), n))],
                     ["at", "w", "n"])
 
-        total = windows.sortWithinPartitions("doc_id", "place", "window").select("window").mapInArrow(fit, "at long, w double, n long").groupBy("at").agg(
+        total = windows.where(F.col("turn") == turn).sortWithinPartitions("doc_id", "place", "window").select("window").mapInArrow(fit, "at long, w double, n long").groupBy("at").agg(
             (F.sum("w") / F.sum("n")).alias("w")).collect()
         if not total:
-            break
+            continue
         mean = np.zeros(len(total))
         for r in total:
             mean[r["at"]] = r.w
