@@ -111,11 +111,13 @@ def link_counts(keys: DataFrame, tables: int, least: float = LEAST) -> DataFrame
     # Members of a bucket of several blocks go to every pair of blocks that theirs is in.
     own = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("blocks")).cast("int")
     dealt = rows.join(blocks, ["table", "code", "dim"]).withColumn("own", own).select(
-        "vec_id", "table", "own", F.col("blocks").cast("int").alias("blocks"))
-    large = dealt.groupBy("vec_id").agg(F.collect_list(F.struct("table", "own", "blocks")).alias("large"))
+        "vec_id", "table", "code", "dim", "own", F.col("blocks").cast("int").alias("blocks"))
+    large = dealt.groupBy("vec_id").agg(F.collect_list(F.struct("table", "code", "dim", "own", "blocks")).alias("large"))
     rows = keys.join(large, "vec_id", "left").select(
         "vec_id", "embedding", "codes", F.posexplode("codes").alias("table", "code"), "large")
-    mine = F.filter("large", lambda x: x["table"] == F.col("table"))
+    # A vec_id may have several vectors, each with buckets of its own.
+    mine = F.filter("large", lambda x: (x["table"] == F.col("table")) & (x["code"] == F.col("code"))
+                    & (x["dim"] == F.size("embedding")))
     place = F.when(F.size(mine) > 0, F.transform(
         F.sequence(F.lit(0), mine[0]["blocks"] - 1), lambda k: F.struct(
             F.least(k, mine[0]["own"]).alias("i"), F.greatest(k, mine[0]["own"]).alias("j"),
