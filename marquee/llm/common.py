@@ -39,6 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, for files that tasks write; it goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place)
+    store.deleteOnExit(place)
+    return path
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

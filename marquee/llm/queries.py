@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, line_dedup, lm, minhash, packing, quality, sharding, urls
+from . import bpe, chat, embeddings, line_dedup, lm, minhash, packing, quality, repair, sharding, spelling, urls, warc
 from .common import tokenizer_path
 
 
@@ -72,9 +72,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_pages(warc.archive_pages(table(spark, sf_dir, "pages")))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_packing, op2_embeddings, op3_quality, op4_chat, op5_line_dedup, op6_lm, op7_minhash,
-                                    op8_urls, op9_sharding, op10_bpe)}
+                                    op8_urls, op9_sharding, op10_bpe, op11_spelling, op12_warc, op13_repair)}
 
 
 def oracle() -> dict[str, str]:
