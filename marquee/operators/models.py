@@ -6,10 +6,10 @@ Six recommenders share one interface::
     recs = fitted.recommend(queries_df, n=10)    # (query_id, rank, item_id, similarity_score)
 
 A query set is a DataFrame of catalogue ids (``query_id``), so one call
-serves many titles.  Fitted models are kept per (application, dataset,
-model, parameters) in a process-local store, which plays the role of the
-reference's pre-trained bundle; ``save_models``/``load_models`` write and read
-the same artefacts as Parquet on shared storage.
+serves many titles.  ``fitted.score(items)`` applies the fitted model to items
+that were not in the fit.  Fitted models are kept per (application, dataset,
+model, parameters) in a process-local store; ``save_models``/``load_models``
+(``bundles``) write and read all of a model's artefacts on shared storage.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .forest import fit_item_forest
+from .linear import fit_item_ridge
 from .mlp import fit_mlp, mlp_predictions
 from .neighbors import nearest_by_value
-from .regress import feature_importance, forest_predictions, ridge_predictions
+from .regress import imputed_target
 from .similarity import attach_details, recommend_dense, recommend_sparse
-from .svd import fit_svd
-from .tfidf import fit_tfidf, tfidf_vectors
+from .svd import fit_svd, project, sparse_rows
+from .tfidf import fit_tfidf, transform_items
 
 # Display names of the six models (R-10).
 MODEL_NAMES = {
@@ -70,6 +72,7 @@ class FittedModel:
     predictions: DataFrame | None = None     # value-based models
     factors: DataFrame | None = None         # svd
     extras: dict = field(default_factory=dict)
+    state: object = None                     # RidgeModel, FittedForest, MLP tuple or SVD basis
 
     def recommend(self, queries: DataFrame, n: int = 10) -> DataFrame:
         if self.name in ("content_based", "knn"):
@@ -79,6 +82,19 @@ class FittedModel:
         eps = 0.0 if self.name == "random_forest" else 1e-10
         return nearest_by_value(self.predictions, queries, n, eps=eps)
 
+    def score(self, items: DataFrame) -> DataFrame:
+        """What the model gives for items that need not have been in the fit: ``item_id`` with ``prediction`` (forest,
+        ridge, MLP), ``vec`` (SVD) or one row per ``term`` with its ``weight`` (content-based, KNN)."""
+        weights = transform_items(self.tfidf, items) if self.tfidf is not None else None
+        if self.name in ("content_based", "knn"):
+            return weights.select("item_id", "term", "weight")
+        if self.name == "svd":
+            return project(items.select("item_id"), sparse_rows(self.tfidf, weights), self.state)
+        if self.name == "neural":
+            rows = items.select("item_id").join(sparse_rows(self.tfidf, weights), "item_id", "left")
+            return mlp_predictions(rows, self.state)
+        return self.state.predict(items, weights)
+
 
 _STORE: dict = {}
 
@@ -105,34 +121,28 @@ def fit_model(name: str, catalog: DataFrame, params: dict | None = None, reuse:
     elif name == "svd":
         tf = fit_tfidf(catalog, params["max_features"], params.get("ngram_max", 1))
         sv = fit_svd(tf, params["n_components"])
-        fitted = FittedModel(name, params, 0.0, n_items, tfidf=tf, factors=cut_lineage(sv.factors),
+        fitted = FittedModel(name, params, 0.0, n_items, tfidf=tf, factors=cut_lineage(sv.factors), state=sv.basis,
                              extras={"explained_variance_ratio": sv.explained_variance_ratio,
-                                     "singular_values": sv.singular_values})
+                                     "singular_values": [float(x) for x in sv.singular_values]})
     else:
         # max_features = 0: numeric features only (no text vector).
         tf = fit_tfidf(catalog, params["max_features"], 1) if params["max_features"] else None
-        vecs = tfidf_vectors(tf, catalog) if tf is not None and name != "neural" else None
-        if name == "linear":
-            preds = ridge_predictions(catalog, params["numeric"], params["alpha"], text_vectors=vecs)
-            extras = {}
-        elif name == "random_forest":
-            preds, model, inputs = forest_predictions(catalog, vecs, params["numeric"], params["num_trees"],
-                                                      params["max_depth"])
-            vocab = ([r["term"] for r in tf.vocab.select("term", "term_index").orderBy("term_index").collect()]
-                     if tf is not None else [])
-            names = vocab + list(params["numeric"])
-            extras = {"importance": feature_importance(model, names, 20, spark)}
-        else:
-            from .regress import imputed_target
-            from .svd import sparse_rows
-            dim = tf.vocab.count()
+        label, extras = imputed_target(catalog), {}
+        if name == "neural":
             rows = tf.item_norms.select("item_id").join(sparse_rows(tf), "item_id", "left")
-            data = (catalog.select("item_id", imputed_target(catalog).alias("label"))
-                    .join(rows, "item_id").select("item_id", "idx", "val", "label"))
-            fm = fit_mlp(data, dim, tuple(params["hidden"]), params["max_iter"])
-            preds = mlp_predictions(data, fm)
-            extras = {"validation_scores": fm[4]}
-        fitted = FittedModel(name, params, 0.0, n_items, tfidf=tf, predictions=cut_lineage(preds), extras=extras)
+            data = cut_lineage(catalog.select("item_id", label.alias("label")).join(rows, "item_id")
+                               .select("item_id", "idx", "val", "label"))
+            state = fit_mlp(data, tf.vocab.count(), tuple(params["hidden"]), params["max_iter"])
+            preds = mlp_predictions(data, state)
+            extras = {"validation_scores": [float(x) for x in state[4]]}
+        else:
+            if name == "linear":
+                state = fit_item_ridge(catalog, tf, params["numeric"], label, params["alpha"])
+            else:
+                state = fit_item_forest(catalog, tf, params["numeric"], label, params["num_trees"], params["max_depth"])
+            preds = state.predict(catalog, tf.weights if tf is not None else None)
+        fitted = FittedModel(name, params, 0.0, n_items, tfidf=tf, predictions=cut_lineage(preds), extras=extras,
+                             state=state)
     fitted.fit_seconds = time.perf_counter() - t0
     if reuse:
         _STORE[key] = fitted
@@ -191,42 +201,26 @@ def compare(catalog: DataFrame, queries: DataFrame, names: list[str] | None = No
     return recs, timings
 
 
-def save_models(fitted: dict[str, FittedModel], path: str) -> None:
-    """IO-5: per model, its tables as Parquet plus a JSON metadata row."""
-    for name, fm in fitted.items():
-        base = f"{path.rstrip('/')}/{name}"
-        if fm.tfidf is not None:
-            fm.tfidf.vocab.write.mode("overwrite").parquet(base + "/vocab")
-            fm.tfidf.weights.write.mode("overwrite").parquet(base + "/weights")
-            fm.tfidf.item_norms.write.mode("overwrite").parquet(base + "/item_norms")
-        if fm.predictions is not None:
-            fm.predictions.write.mode("overwrite").parquet(base + "/predictions")
-        if fm.factors is not None:
-            fm.factors.write.mode("overwrite").parquet(base + "/factors")
-        meta = {"name": name, "params": fm.params, "fit_seconds": fm.fit_seconds, "n_items": fm.n_items,
-                "tfidf": fm.tfidf is not None}
-        spark = (fm.tfidf.vocab if fm.tfidf is not None else fm.predictions).sparkSession
-        spark.createDataFrame([(json.dumps(meta, default=str),)], "meta string") \
-            .write.mode("overwrite").json(base + "/meta")
-
-
-def load_models(spark, path: str, names: list[str] | None = None) -> dict[str, FittedModel]:
-    """IO-6: read what ``save_models`` wrote; a missing model directory or table raises."""
-    from .tfidf import TfidfModel
-    out = {}
-    for name in names or list(MODEL_NAMES):
-        base = f"{path.rstrip('/')}/{name}"
-        meta = json.loads(spark.read.json(base + "/meta").first()["meta"])
-        fm = FittedModel(name, meta["params"], meta["fit_seconds"], meta["n_items"])
-        if meta["tfidf"]:
-            vocab = spark.read.parquet(base + "/vocab")
-            weights = spark.read.parquet(base + "/weights")
-            norms = spark.read.parquet(base + "/item_norms")
-            fm.tfidf = TfidfModel(vocab, weights, norms, norms.select(F.count(F.lit(1))).scalar(),
-                                  meta["params"].get("max_features", 0), meta["params"].get("ngram_max", 1))
-        if name in ("random_forest", "linear", "neural"):
-            fm.predictions = spark.read.parquet(base + "/predictions")
-        if name == "svd":
-            fm.factors = spark.read.parquet(base + "/factors")
-        out[name] = fm
-    return out
+def feature_importance(fitted: FittedModel, top_n: int | None = 20) -> DataFrame:
+    """R-5: the ``top_n`` features of a fitted forest by importance, named by term or numeric column (None: all)."""
+    forest = fitted.state
+    spark = (fitted.predictions if fitted.predictions is not None else fitted.tfidf.vocab).sparkSession
+    rows = [(k, float(v)) for k, v in enumerate(forest.model.importance())]
+    shares = spark.createDataFrame(rows, "feature int, importance double")
+    names = spark.createDataFrame([(forest.n_text + k, c) for k, c in enumerate(forest.numeric)], "feature int, name string")
+    if forest.cuts is not None:
+        names = names.unionByName(forest.cuts.select("feature", F.col("term").alias("name")))
+    out = shares.join(names, "feature").select(F.col("name").alias("feature"), "importance")
+    return out if top_n is None else out.orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
+
+
+def save_models(fitted: dict[str, FittedModel], path: str, content_type: str = "all") -> None:
+    """IO-5: writes a bundle of the models (see ``bundles.save_bundle``)."""
+    from .bundles import save_bundle
+    save_bundle(fitted, path, content_type)
+
+
+def load_models(spark, path: str, names: list[str] | None = None, content_type: str = "all") -> dict[str, FittedModel]:
+    """IO-6: reads the newest whole bundle (see ``bundles.load_bundle``); a missing bundle or model raises."""
+    from .bundles import load_bundle
+    return load_bundle(spark, path, names, content_type)

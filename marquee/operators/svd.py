@@ -1,8 +1,8 @@
 """Truncated, uncentred SVD of the TF-IDF matrix (R-7, R-8).
 
 1. One distributed pass builds the Gramian ``XᵀX`` (vocabulary × vocabulary,
-   bounded by ``max_features``): each partition accumulates the sparse outer
-   products of its rows and the partial matrices are summed by block.
+   bounded by ``max_features``): each partition multiplies dense blocks of its
+   rows and the partial matrices are summed by piece.
 2. ``numpy.linalg.eigh`` on the driver gives the right singular vectors
    ``V`` and ``σ² = λ``; the matrix is sized by the vocabulary, not the data.
 3. Item factors ``X·V_k`` (rows of ``UΣ``, what the reference's transformer
@@ -23,7 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .combine import sum_arrays
+from ..session import cut_lineage
+from .combine import gramian
 from .tfidf import TfidfModel
 
 
@@ -33,39 +34,16 @@ class SvdModel:
     singular_values: np.ndarray
     explained_variance_ratio: float
     n_components: int
+    basis: np.ndarray           # vocabulary × k, rows by term_index
 
 
-def sparse_rows(model: TfidfModel) -> DataFrame:
-    """(item_id, idx, val) per item; the weights are already clustered by item."""
-    w = model.weights.join(F.broadcast(model.vocab.select("term", "term_index")), "term")
+def sparse_rows(model: TfidfModel, weights: DataFrame | None = None) -> DataFrame:
+    """(item_id, idx, val) per item of the model's weights (clustered by item) or of others under its vocabulary."""
+    w = (model.weights if weights is None else weights).join(F.broadcast(model.vocab.select("term", "term_index")), "term")
     e = w.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("e"))
     return e.select("item_id", F.col("e.term_index").alias("idx"), F.col("e.weight").alias("val"))
 
 
-def _gram_fn(dim: int):
-    def fn(batches):
-        g = np.zeros((dim, dim))
-        for pdf in batches:
-            for idx, val in zip(pdf["idx"], pdf["val"]):
-                if idx is None or len(idx) == 0:
-                    continue
-                ix = np.asarray(idx, dtype=np.int64)
-                v = np.asarray(val, dtype=np.float64)
-                g[np.ix_(ix, ix)] += np.outer(v, v)      # k² updates for k non-zeros
-        yield pd.DataFrame({"g": [g[np.triu_indices(dim)].tobytes()]})
-    return fn
-
-
-def gramian(rows: DataFrame, dim: int) -> np.ndarray:
-    """``XᵀX``: per-row sparse outer products accumulated per partition, packed
-    upper triangles summed by block (``sum_arrays``) — the driver receives one
-    vocabulary × vocabulary matrix whatever the number of partitions."""
-    parts = rows.select("idx", "val").mapInPandas(_gram_fn(dim), "g binary")
-    g = np.zeros((dim, dim))
-    g[np.triu_indices(dim)] = sum_arrays(parts)
-    return g + np.triu(g, 1).T
-
-
 def _project_fn(bvk, k: int):
     def fn(batches):
         vk = bvk.value
@@ -83,9 +61,8 @@ def _project_fn(bvk, k: int):
 def fit_svd(model: TfidfModel, n_components: int = 100) -> SvdModel:
     if not model.max_features:
         raise ValueError("SVD needs a bounded vocabulary (max_features): the Gramian is vocabulary × vocabulary")
-    spark = model.weights.sparkSession
     dim = model.vocab.count()
-    rows = sparse_rows(model)
+    rows = cut_lineage(sparse_rows(model))           # for the Gramian and the projection
     g = gramian(rows, dim)
     lam, vec = np.linalg.eigh(g)
     order = np.argsort(lam)[::-1][:min(n_components, dim)]
@@ -104,9 +81,12 @@ def fit_svd(model: TfidfModel, n_components: int = 100) -> SvdModel:
     total_var = np.trace(g) / n - np.sum((colsum / n) ** 2)
     ratio = float(var_z.sum() / total_var) if total_var > 0 else 0.0
 
-    bvk = spark.sparkContext.broadcast(v_k)
-    full = (model.item_norms.select("item_id").join(rows, "item_id", "left")
-            .select("item_id", "idx", "val"))
-    factors = full.mapInPandas(_project_fn(bvk, k), "item_id long, vec array<double>")
-    return SvdModel(factors=factors, singular_values=np.sqrt(lam_k), explained_variance_ratio=ratio,
-                    n_components=k)
+    return SvdModel(factors=project(model.item_norms.select("item_id"), rows, v_k), singular_values=np.sqrt(lam_k),
+                    explained_variance_ratio=ratio, n_components=k, basis=v_k)
+
+
+def project(ids: DataFrame, rows: DataFrame, basis: np.ndarray) -> DataFrame:
+    """(item_id, vec) of every id: its sparse row (item_id, idx, val), if it has one, times the basis."""
+    b = ids.sparkSession.sparkContext.broadcast(basis)
+    full = ids.join(rows, "item_id", "left").select("item_id", "idx", "val")
+    return full.mapInPandas(_project_fn(b, basis.shape[1]), "item_id long, vec array<double>")

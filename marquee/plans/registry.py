@@ -133,7 +133,7 @@ q_mlp_recommend = _value_model("neural")
 
 
 def q_feature_importance(spark, d):
-    return models.fit_model("random_forest", _items(spark, d)).extras["importance"]
+    return models.feature_importance(models.fit_model("random_forest", _items(spark, d)))
 
 
 def q_fit_metadata(spark, d):
