@@ -172,30 +172,56 @@ def _no_recommendations(spark) -> DataFrame:
     return spark.createDataFrame([], "query_id long, rank int, item_id long, similarity_score double")
 
 
+def _recommend_blocks(fitted: FittedModel, catalog: DataFrame, q: DataFrame, n: int) -> tuple[list, float, list]:
+    """(tables of recommendations, seconds, failed queries) for all of ``q(query_id)``.
+
+    All queries are one block at first.  A block that fails is cut in two by a hash of the id, until the queries that
+    fail stand alone; the others keep their recommendations.
+    """
+    done, seconds, failed, todo = [], 0.0, [], [(1, 0)]
+    while todo:
+        parts, k = todo.pop()
+        block = q.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == k) if parts > 1 else q
+        try:
+            t0 = time.perf_counter()
+            done.append(cut_lineage(attach_details(fitted.recommend(block, n), catalog, fitted.name)))
+            seconds += time.perf_counter() - t0
+        except Exception as e:  # noqa: BLE001 - the failed query is skipped, the others continue
+            some = [r["query_id"] for r in block.limit(2).collect()]
+            if len(some) > 1:
+                todo += [(2 * parts, k), (2 * parts, k + parts)]
+            elif some:
+                failed.append((some[0], e))
+    return done, seconds, failed
+
+
 def compare(catalog: DataFrame, queries: DataFrame, names: list[str] | None = None, n: int = 10,
             params: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """E-2, E-17, E-19, E-20: fit and query every model; measured times, failures recorded.
 
-    Returns ``(recs, timings)``; ``timings`` has model, model_order,
-    fit_seconds, recommend_seconds (per query) and status.
+    Returns ``(recs, timings)``; ``timings`` has model, model_order, fit_seconds, recommend_seconds (per answered
+    query), status and n_failed.  A model that cannot be fitted, or fails for all queries, has an error as its status;
+    a query that fails alone is left out and counted.
     """
     spark = catalog.sparkSession
     names = names or list(MODEL_NAMES)
-    q = cut_lineage(queries.select("query_id"))
+    q = cut_lineage(queries.select("query_id").distinct())
     n_q = q.count()
     recs, rows = None, []
     for order, name in enumerate(names):
         try:
             fitted = fit_model(name, catalog, (params or {}).get(name))
-            t0 = time.perf_counter()
-            r = cut_lineage(attach_details(fitted.recommend(q, n), catalog, name))
-            rec_s = (time.perf_counter() - t0) / max(n_q, 1)
-            recs = r if recs is None else recs.unionByName(r)
-            rows.append((name, order, float(fitted.fit_seconds), float(rec_s), "ok"))
+            done, seconds, failed = _recommend_blocks(fitted, catalog, q, n)
+            if failed and len(failed) == n_q:
+                raise failed[0][1]
         except Exception as e:  # noqa: BLE001 - a failed model is skipped, others continue
-            rows.append((name, order, None, None, f"error: {type(e).__name__}: {e}"[:500]))
+            rows.append((name, order, None, None, f"error: {type(e).__name__}: {e}"[:500], n_q))
+            continue
+        for r in done:
+            recs = r if recs is None else recs.unionByName(r)
+        rows.append((name, order, float(fitted.fit_seconds), seconds / max(n_q - len(failed), 1), "ok", len(failed)))
     timings = spark.createDataFrame(rows, "model string, model_order int, fit_seconds double, "
-                                          "recommend_seconds double, status string")
+                                          "recommend_seconds double, status string, n_failed int")
     if recs is None:
         recs = attach_details(_no_recommendations(spark), catalog, "")
     return recs, timings

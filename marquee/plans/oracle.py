@@ -74,6 +74,9 @@ queries AS (
   ORDER BY md5('{seed}:' || CAST(item_id AS VARCHAR)) LIMIT {n_queries})""".format(
     min_votes=R.MIN_VOTES_QUERY, seed=R.SEED, n_queries=R.N_QUERIES)
 
+#: The searches' query set: every id divisible by SEARCH_EVERY.
+ASKED = f", asked AS (SELECT item_id AS query_id FROM items WHERE item_id % {R.SEARCH_EVERY} = 0)"
+
 
 def _tokens_cte(name: str, ngram: int) -> str:
     bigram = ("t || CASE WHEN len(t) >= 2 THEN list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) "
@@ -106,7 +109,7 @@ def _tfidf_cte(name: str, max_features: int, ngram: int) -> str:
   ON i.item_id = x.item_id)"""
 
 
-def _knn_cte(name: str, max_features: int, ngram: int, metric: str, n: int) -> str:
+def _knn_cte(name: str, max_features: int, ngram: int, metric: str, n: int, queries: str = "queries") -> str:
     if metric == "cosine":
         score = "coalesce(s.dot, 0.0)"
     elif metric == "euclidean":
@@ -118,10 +121,10 @@ def _knn_cte(name: str, max_features: int, ngram: int, metric: str, n: int) -> s
   SELECT a.item_id AS query_id, b.item_id, sum(a.weight * b.weight) AS dot,
          sum(abs(a.weight - b.weight) - a.weight - b.weight) AS corr
   FROM {name}_w a JOIN {name}_w b ON a.term = b.term
-  WHERE a.item_id IN (SELECT query_id FROM queries) GROUP BY a.item_id, b.item_id),
+  WHERE a.item_id IN (SELECT query_id FROM {queries}) GROUP BY a.item_id, b.item_id),
 {name}_scores AS (
   SELECT q.query_id, inn.item_id, {score} AS score
-  FROM queries q JOIN {name}_norms qn ON qn.item_id = q.query_id
+  FROM {queries} q JOIN {name}_norms qn ON qn.item_id = q.query_id
   CROSS JOIN {name}_norms inn
   LEFT JOIN {name}_shared s ON s.query_id = q.query_id AND s.item_id = inn.item_id
   WHERE inn.item_id <> q.query_id),
@@ -131,7 +134,7 @@ def _knn_cte(name: str, max_features: int, ngram: int, metric: str, n: int) -> s
     FROM {name}_scores) WHERE rank <= {n})"""
 
 
-def _by_value_cte(name: str, preds: str, n: int, eps: str = "1e-10") -> str:
+def _by_value_cte(name: str, preds: str, n: int, eps: str = "1e-10", queries: str = "queries") -> str:
     """Brute force: every query against every item."""
     return f""",
 {name}_p AS ({preds}),
@@ -139,7 +142,7 @@ def _by_value_cte(name: str, preds: str, n: int, eps: str = "1e-10") -> str:
 {name}_cand AS (
   SELECT q.query_id, p.item_id, abs(p.prediction - t.prediction) AS d,
          greatest(mm.mx - t.prediction, t.prediction - mm.mn) AS maxd
-  FROM queries q JOIN {name}_p t ON t.item_id = q.query_id
+  FROM {queries} q JOIN {name}_p t ON t.item_id = q.query_id
   CROSS JOIN {name}_p p CROSS JOIN {name}_mm mm
   WHERE p.item_id <> q.query_id),
 {name}_recs AS (
@@ -149,8 +152,8 @@ def _by_value_cte(name: str, preds: str, n: int, eps: str = "1e-10") -> str:
     FROM {name}_cand) WHERE rank <= {n})"""
 
 
-RIDGE2_PREDS = """
-  WITH base AS (
+RIDGE2_FIT = """
+  base AS (
     SELECT item_id, coalesce(popularity, 0.0) AS x1, CAST(coalesce(vote_count, 0) AS DOUBLE) AS x2,
            coalesce(vote_average, avg(vote_average) OVER ()) AS y FROM items),
   mom AS (SELECT avg(x1) AS m1, avg(x2) AS m2, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, avg(y) AS my FROM base),
@@ -160,7 +163,8 @@ RIDGE2_PREDS = """
   zc AS (SELECT item_id, z1 - avg(z1) OVER () AS z1, z2 - avg(z2) OVER () AS z2, yc FROM z),
   g AS (SELECT sum(z1 * z1) + 1.0 AS a, sum(z2 * z2) + 1.0 AS dd, sum(z1 * z2) AS c,
                sum(z1 * yc) AS e1, sum(z2 * yc) AS e2 FROM zc),
-  w AS (SELECT (e1 * dd - c * e2) / (a * dd - c * c) AS w1, (e2 * a - c * e1) / (a * dd - c * c) AS w2 FROM g)
+  w AS (SELECT (e1 * dd - c * e2) / (a * dd - c * c) AS w1, (e2 * a - c * e1) / (a * dd - c * c) AS w2 FROM g)"""
+RIDGE2_PREDS = "WITH " + RIDGE2_FIT + """
   SELECT zc.item_id, m.my + w.w1 * zc.z1 + w.w2 * zc.z2 AS prediction
   FROM zc CROSS JOIN w CROSS JOIN mom m"""
 
@@ -219,15 +223,17 @@ def _best(col: str, largest: bool = True, src: str = "compared") -> str:
 SQL: dict[str, str] = {}
 
 # ------------------------------------------------------------ recommenders
-SQL["q_content_based"] = ("WITH " + ITEMS + "," + _knn_cte("cb", R.CB_FEATURES, R.CB_NGRAM, "cosine", R.N_RECS)
+SQL["q_content_based"] = ("WITH " + ITEMS + ASKED + "," + _knn_cte("cb", R.CB_FEATURES, R.CB_NGRAM, "cosine", R.N_RECS, "asked")
                           + "\n" + _recs_details("cb"))
+SQL["q_all_items_topk"] = ("WITH " + ITEMS + ASKED + "," + _knn_cte("cb", R.CB_FEATURES, R.CB_NGRAM, "cosine", R.N_RECS, "asked")
+                           + "\nSELECT * FROM cb_recs")
 for _m in ("cosine", "euclidean", "manhattan"):
-    SQL[f"q_knn_{_m}"] = ("WITH " + ITEMS + "," + _knn_cte("kn", R.KNN_FEATURES, R.KNN_NGRAM, _m, R.N_RECS)
+    SQL[f"q_knn_{_m}"] = ("WITH " + ITEMS + ASKED + "," + _knn_cte("kn", R.KNN_FEATURES, R.KNN_NGRAM, _m, R.N_RECS, "asked")
                           + "\nSELECT * FROM kn_recs")
 
 _EMB = """
 WITH ev AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-eq AS (SELECT item_id AS query_id FROM ev ORDER BY md5('{seed}:' || CAST(item_id AS VARCHAR)) LIMIT {nq}),
+eq AS (SELECT item_id AS query_id FROM ev WHERE item_id % {every} = 0),
 pairs AS (
   SELECT q.query_id, e.item_id, {expr} AS score
   FROM eq q JOIN ev qe ON qe.item_id = q.query_id CROSS JOIN ev e WHERE e.item_id <> q.query_id)
@@ -242,12 +248,19 @@ _EMB_EXPR = {
     "manhattan": "1.0 - list_sum(list_transform(range(1, len(qe.v) + 1), lambda i: abs(qe.v[i] - e.v[i])))",
 }
 for _m, _e in _EMB_EXPR.items():
-    SQL[f"q_knn_embeddings_{_m}"] = _EMB.format(seed=R.SEED, nq=R.N_QUERIES, expr=_e, n=R.N_RECS)
+    SQL[f"q_knn_embeddings_{_m}"] = _EMB.format(every=R.SEARCH_EVERY, expr=_e, n=R.N_RECS)
 
-SQL["q_nearest_by_value"] = ("WITH " + ITEMS + _by_value_cte(
-    "nv", "SELECT item_id, vote_average AS prediction FROM items WHERE vote_average IS NOT NULL", R.N_RECS)
+SQL["q_nearest_by_value"] = ("WITH " + ITEMS + ASKED + _by_value_cte(
+    "nv", "SELECT item_id, vote_average AS prediction FROM items WHERE vote_average IS NOT NULL", R.N_RECS, queries="asked")
     + "\nSELECT * FROM nv_recs")
-SQL["q_ridge_two_features"] = "WITH " + ITEMS + _by_value_cte("lin", RIDGE2_PREDS, R.N_RECS) + "\nSELECT * FROM lin_recs"
+SQL["q_ridge_two_features"] = ("WITH " + ITEMS + ASKED + _by_value_cte("lin", RIDGE2_PREDS, R.N_RECS, queries="asked")
+                               + "\nSELECT * FROM lin_recs")
+SQL["q_bundle_scores"] = "WITH " + ITEMS + f"""
+SELECT item_id, round(prediction, 6) AS prediction FROM ({RIDGE2_PREDS})"""
+SQL["q_ridge_coefficients"] = "WITH " + ITEMS + ", " + RIDGE2_FIT + """
+SELECT 'popularity' AS feature, round(w1, 6) AS coefficient FROM w UNION ALL SELECT 'vote_count', round(w2, 6) FROM w
+UNION ALL SELECT '(intercept)', round(my - w1 * mz1 - w2 * mz2, 6) FROM w CROSS JOIN mom CROSS JOIN (
+  SELECT avg(z1) AS mz1, avg(z2) AS mz2 FROM z)"""
 
 # ------------------------------------------------------------ evaluation
 SQL["q_sample_items"] = "WITH " + ITEMS + "\nSELECT query_id, title FROM queries"

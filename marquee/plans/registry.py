@@ -7,6 +7,8 @@ oracle in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +18,15 @@ from ..operators import clean, evaluate, models, stats, topk
 from ..operators.neighbors import nearest_by_value
 from ..operators.similarity import attach_details, recommend_dense, recommend_sparse
 from ..operators.tfidf import genre_multi_hot
-from ..session import cut_lineage
+from ..operators.allitems import all_items_topk
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import adapters
 from ..sources.tables import read_table
 
 # Parameters shared with the oracle (the reference's library defaults).
 SEED = 42
 N_QUERIES = 20           # evaluate_all: up to 20 popular test items
+SEARCH_EVERY = 100       # searches ask for every id divisible by this
 MIN_VOTES_QUERY = 100
 N_RECS = 10
 CB_FEATURES, CB_NGRAM = 5000, 2      # content-based vectoriser
@@ -53,22 +57,34 @@ def _items(spark, d):
 
 
 def _queries(catalog: DataFrame) -> DataFrame:
+    """E-1: the evaluation's sample of popular items."""
     return evaluate.sample_items(catalog, N_QUERIES, MIN_VOTES_QUERY, SEED)
 
 
+def _asked(catalog: DataFrame) -> DataFrame:
+    """The query set of the searches: every item whose id is divisible by 100, against all items."""
+    return catalog.where(F.col("item_id") % SEARCH_EVERY == 0).select(F.col("item_id").alias("query_id"))
+
+
 # ---------------------------------------------------------------- recommenders
 
 def q_content_based(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d)
     model = models.fit_model("content_based", items)
-    return attach_details(model.recommend(_queries(items), N_RECS), items)
+    return attach_details(model.recommend(_asked(items), N_RECS), items)
+
+
+def q_all_items_topk(spark: SparkSession, d: str) -> DataFrame:
+    """R-14: the content-based model's similarity matrix, as far as a user can see it."""
+    items = _items(spark, d)
+    return all_items_topk(models.fit_model("content_based", items).tfidf, _asked(items), N_RECS)
 
 
 def _knn(metric):
     def q(spark: SparkSession, d: str) -> DataFrame:
         items = _items(spark, d)
         model = models.fit_model("knn", items)
-        return recommend_sparse(model.tfidf, _queries(items), N_RECS, metric)
+        return recommend_sparse(model.tfidf, _asked(items), N_RECS, metric)
     q.__name__ = f"q_knn_{metric}"
     return q
 
@@ -83,15 +99,10 @@ def _embedding_vectors(spark, d):
                                                      F.col("embedding").alias("vec"), "label")
 
 
-def _embedding_queries(vecs: DataFrame) -> DataFrame:
-    key = F.md5(F.concat(F.lit(str(SEED)), F.lit(":"), F.col("item_id").cast("string")))
-    return vecs.select(F.col("item_id").alias("query_id"), key.alias("k")).orderBy("k").limit(N_QUERIES)
-
-
 def _knn_dense(metric):
     def q(spark: SparkSession, d: str) -> DataFrame:
         vecs = _embedding_vectors(spark, d)
-        return recommend_dense(vecs.select("item_id", "vec"), _embedding_queries(vecs), N_RECS, metric)
+        return recommend_dense(vecs.select("item_id", "vec"), _asked(vecs), N_RECS, metric)
     q.__name__ = f"q_knn_embeddings_{metric}"
     return q
 
@@ -104,7 +115,7 @@ q_knn_embeddings_manhattan = _knn_dense("manhattan")
 def q_nearest_by_value(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d)
     preds = items.select("item_id", F.col("vote_average").alias("prediction"))
-    return nearest_by_value(preds, _queries(items), N_RECS, eps=1e-10)
+    return nearest_by_value(preds, _asked(items), N_RECS, eps=1e-10)
 
 
 RIDGE2 = dict(max_features=0, numeric=["popularity", "vote_count"], alpha=1.0)
@@ -112,7 +123,22 @@ RIDGE2 = dict(max_features=0, numeric=["popularity", "vote_count"], alpha=1.0)
 
 def q_ridge_two_features(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d)
-    return models.fit_model("linear", items, RIDGE2).recommend(_queries(items), N_RECS)
+    return models.fit_model("linear", items, RIDGE2).recommend(_asked(items), N_RECS)
+
+
+def q_ridge_coefficients(spark: SparkSession, d: str) -> DataFrame:
+    """R-6: intercept and coefficients of the scaled columns."""
+    c = models.fit_model("linear", _items(spark, d), RIDGE2).state.coefficients(spark)
+    return c.select("feature", F.round("coefficient", 6).alias("coefficient"))
+
+
+def q_bundle_scores(spark: SparkSession, d: str) -> DataFrame:
+    """IO-5, IO-6: a model saved, read back and applied to every item."""
+    items = _items(spark, d)
+    path = f"{ensure_checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+    models.save_models({"linear": models.fit_model("linear", items, RIDGE2)}, path)
+    scores = models.load_models(spark, path, ["linear"])["linear"].score(items)
+    return scores.select("item_id", F.round("prediction", 6).alias("prediction"))
 
 
 # Models fitted by iterative estimators: no SQL oracle (rows-only check plus
@@ -121,7 +147,7 @@ def q_ridge_two_features(spark: SparkSession, d: str) -> DataFrame:
 def _value_model(name):
     def q(spark: SparkSession, d: str) -> DataFrame:
         items = _items(spark, d)
-        return attach_details(models.fit_model(name, items).recommend(_queries(items), N_RECS), items, name)
+        return attach_details(models.fit_model(name, items).recommend(_asked(items), N_RECS), items, name)
     q.__name__ = f"q_{name}_recommend"
     return q
 
@@ -151,13 +177,12 @@ def q_model_comparison(spark, d):
 
     A model that failed has its row too, with the error as its status and no scores.
     """
-    items = _items(spark, d)
-    recs, timings = models.compare(items, _queries(items), n=N_RECS)
+    recs, timings, items = _six_models(spark, d)
     ok = timings.where(F.col("status") == "ok")
     m = evaluate.model_metrics(recs, items).join(F.broadcast(ok), "model")
     scored = evaluate.comparison_score(m)
-    scored = timings.select("model", "status").join(scored.drop("status"), "model", "left")
-    return scored.select("model", "status", "fit_seconds", "recommend_seconds", F.round("coverage", 6).alias("coverage"),
+    scored = timings.select("model", "status", "n_failed").join(scored.drop("status", "n_failed"), "model", "left")
+    return scored.select("model", "status", "n_failed", "fit_seconds", "recommend_seconds", F.round("coverage", 6).alias("coverage"),
                          F.round("diversity", 6).alias("diversity"), F.round("avg_rating", 6).alias("avg_rating"),
                          F.round("precision", 6).alias("precision"), F.round("total_score", 6).alias("total_score"))
 
@@ -194,6 +219,61 @@ def _recs_all(spark, d) -> tuple[DataFrame, DataFrame]:
     return _RECS[key], items
 
 
+_SIX: dict = {}
+
+
+def _six_models(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Recommendations of all six models with the library's parameters, measured times, and the catalogue.
+
+    Written once per session and dataset: ``cut_lineage`` in ``compare`` keeps each model's rows.
+    """
+    items = _items(spark, d)
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SIX:
+        _SIX[key] = models.compare(items, _queries(items), n=N_RECS)
+    return *_SIX[key], items
+
+
+def q_six_model_recs(spark, d):
+    """E-2: the recommendations of all six models."""
+    return _six_models(spark, d)[0]
+
+
+def _six_scored(spark, d) -> DataFrame:
+    recs, timings, items = _six_models(spark, d)
+    ok = timings.where(F.col("status") == "ok").withColumn("recommend_ms", F.col("recommend_seconds") * 1000)
+    return evaluate.quality_score(evaluate.model_metrics(recs, items).join(F.broadcast(ok), "model"))
+
+
+def q_six_model_metrics(spark, d):
+    """E-3 to E-8, E-11, E-16 of all six models, with measured times."""
+    scored = _six_scored(spark, d)
+    cols = ["model", "n_recs", "n_queries", "coverage", "diversity", "avg_rating", "precision", "quality_score"]
+    both = evaluate.comparison_score(scored).select("model", F.round("total_score", 6).alias("total_score"))
+    passed = evaluate.acceptance(scored).select("model", "accepted", "pass_rate", "band")
+    return scored.select(*cols).join(both, "model").join(passed, "model")
+
+
+def q_six_model_agreement(spark, d):
+    """E-9: agreement of all pairs of the six models."""
+    return evaluate.agreement_matrix(_six_models(spark, d)[0])
+
+
+def q_six_model_confusion(spark, d):
+    """E-10 of all six models."""
+    return evaluate.confusion(_six_models(spark, d)[0])
+
+
+def q_six_model_best(spark, d):
+    """E-12, E-13: the best of the six models for each priority and category."""
+    scored = evaluate.comparison_score(_six_scored(spark, d))
+    out = evaluate.best_per_category(scored)
+    for p in ["balanced", "speed", "quality", "coverage"]:
+        best = evaluate.best_for_priority(scored, p)
+        out = out.unionByName(best.select(F.col("priority").alias("category"), "model"))
+    return out
+
+
 def _timings(spark) -> DataFrame:
     return spark.createDataFrame(EXAMPLE_TIMINGS, "model string, model_order int, fit_seconds double, "
                                                   "recommend_seconds double")
