@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, chat, embeddings, line_dedup, lm, minhash, packing, quality, repair, sharding, spelling, urls, warc
 from .common import tokenizer_path
+from .oracle import SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,4 +91,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return dict(SQL)
