@@ -185,43 +185,48 @@ def best_split(w: np.ndarray, g: np.ndarray, weight: float, total: float) -> tup
 
 def grow(tree: int, root: int, entries: np.ndarray, ends: np.ndarray, w: np.ndarray, y: np.ndarray, features: int,
          max_depth: int) -> list[tuple]:
-    """All nodes below and with ``root`` from the rows that reach it (entries of row k: ``ends[k]`` to ``ends[k+1]``)."""
-    lengths = np.diff(ends)
-    owner = np.repeat(np.arange(len(w)), lengths)
-    wide, g, out = features * BINS, w * y, []
-
-    def histogram(rows: np.ndarray) -> np.ndarray:
-        mine = np.zeros(len(w), bool)
-        mine[rows] = True
-        k = mine[owner]
-        e, o = entries[k], owner[k]
-        return np.stack([np.bincount(e, w[o], wide), np.bincount(e, g[o], wide)])
-
-    def go_left(rows: np.ndarray, f: int, b: int) -> np.ndarray:
-        high = np.zeros(len(w), bool)
-        high[owner[(entries > f * BINS + b) & (entries < (f + 1) * BINS)]] = True
-        return ~high[rows]
+    """All nodes below and with ``root`` from the rows that reach it (entries of row k: ``ends[k]`` to ``ends[k+1]``).
 
-    stack = [(root, np.arange(len(w)), None)]
+    Every node keeps its rows' entries.  A node of few entries looks only at the columns that have some.
+    """
+    wide, g, out = features * BINS, w * y, []
+    high = np.zeros(len(w), bool)
+
+    def histogram(e: np.ndarray, o: np.ndarray, width: int) -> np.ndarray:
+        return np.stack([np.bincount(e, w[o], width), np.bincount(e, g[o], width)])
+
+    def split_of(e, o, hist, weight, total):
+        if hist is not None:
+            return best_split(*hist.reshape(2, features, BINS).copy(), weight, total)
+        present, at = np.unique(e // BINS, return_inverse=True)
+        if not len(present):
+            return LEAF, 0, 0.0, 0.0, 0.0
+        some = histogram(at * BINS + e % BINS, o, len(present) * BINS)
+        f, *rest = best_split(*some.reshape(2, len(present), BINS), weight, total)
+        return (LEAF if f == LEAF else int(present[f])), *rest
+
+    stack = [(root, np.arange(len(w)), entries, np.repeat(np.arange(len(w)), np.diff(ends)), None)]
     while stack:
-        node, rows, hist = stack.pop()
+        node, rows, e, o, hist = stack.pop()
         weight, total = float(w[rows].sum()), float(g[rows].sum())
         split = (LEAF, 0, 0.0, 0.0, 0.0)
         if node.bit_length() <= max_depth and len(rows) > 1:
-            hist = histogram(rows) if hist is None else hist
-            split = best_split(*(h.reshape(features, BINS).copy() for h in hist), weight, total)
+            if hist is None and len(e) > wide // 4:
+                hist = histogram(e, o, wide)
+            split = split_of(e, o, hist, weight, total)
         out.append((tree, node, split[0], split[1], total / weight if weight else 0.0, weight, split[2]))
         if split[0] == LEAF:
             continue
-        left = go_left(rows, split[0], split[1])
-        a, b = rows[left], rows[~left]
-        light, heavy = (a, b) if len(a) <= len(b) else (b, a)
-        if (2 * node).bit_length() <= max_depth and len(heavy) > 1:
-            h = histogram(light)
-            pair = {id(light): h, id(heavy): hist - h}
-        else:
-            pair = {id(light): None, id(heavy): None}
-        stack += [(2 * node + 1, b, pair[id(b)]), (2 * node, a, pair[id(a)])]
+        moved = o[(e > split[0] * BINS + split[1]) & (e < (split[0] + 1) * BINS)]
+        high[moved] = True
+        right, of_right = high[rows], high[o]
+        high[moved] = False
+        children = [[rows[~right], e[~of_right], o[~of_right], None], [rows[right], e[of_right], o[of_right], None]]
+        light, heavy = sorted(children, key=lambda c: len(c[1]))
+        if hist is not None and (2 * node).bit_length() <= max_depth and len(heavy[1]) > wide // 4:
+            light[3] = histogram(light[1], light[2], wide)
+            heavy[3] = hist - light[3]
+        stack += [(2 * node + 1, *children[1]), (2 * node, *children[0])]
     return out
 
 
