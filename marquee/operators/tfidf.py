@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import combined_text, with_terms
+from ..functions.text import combined_text, with_bigrams, with_terms
 from ..session import cut_lineage, shuffle_partitions
 
 
@@ -52,38 +52,44 @@ def item_terms(items: DataFrame, ngram_max: int = 1, partitions: int | None = No
     return with_terms(docs, F.col("text"), "terms", ngram_max).select("item_id", "terms")
 
 
-def pruned_item_terms(items: DataFrame, max_features: int, ngram_max: int = 1,
-                      partitions: int | None = None) -> DataFrame:
-    """(item_id, terms) keeping only terms that can still reach the vocabulary.
+def tokenised(items: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``item_terms`` (unigrams), written once: every vocabulary over the same items can be derived from it.
+
+    Tokens are stored before they are exploded: the optimizer infers a filter on the size of an exploded array and
+    would run the tokeniser again for it, in the scan's few tasks.
+    """
+    return cut_lineage(item_terms(items, 1, partitions))
+
+
+def pruned_terms(uni: DataFrame, max_features: int) -> DataFrame:
+    """(item_id, term): unigrams and bigrams of ``tokenised`` items that can still reach the vocabulary, with repeats.
 
     Let ``top`` be the ``max_features`` first unigrams in the vocabulary's own
     order (count, then term).  Any other unigram has all of ``top`` before it.
     So has a bigram whose first word is not in ``top``: it is no more frequent
     than that word, and longer, so it sorts after it.  Dropping these before
     the per-item aggregation is exact.  ``top`` is bounded by the parameter,
-    like the vocabulary itself.
+    like the vocabulary itself, so it is broadcast, and the items' clustering
+    stays.
     """
-    uni = cut_lineage(item_terms(items, 1, partitions))
-    counts = uni.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    top = [r["term"] for r in counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features).collect()]
-    if not top:
-        return uni.select("item_id", F.array().cast("array<string>").alias("terms"))
-    u = F.col("terms")
-    kept = F.filter(u, lambda x: x.isin(top))
-    if ngram_max >= 2:
-        n = F.size(u)
-        pairs = F.when(n >= 2, F.zip_with(
-            F.slice(u, 1, n - 1), F.slice(u, 2, n - 1),
-            lambda a, b: F.when(a.isin(top), F.concat(a, F.lit(" "), b))))
-        kept = F.concat(kept, F.coalesce(F.filter(pairs, lambda x: x.isNotNull()),
-                                         F.array().cast("array<string>")))
-    return uni.select("item_id", kept.alias("terms"))
+    counts = uni.select(F.explode_outer("terms").alias("_a")).where("_a is not null").groupBy("_a").agg(
+        F.count(F.lit(1)).alias("n"))
+    top = cut_lineage(counts.orderBy(F.desc("n"), F.asc("_a")).limit(max_features).select("_a"))
+    pairs = uni.select("item_id", F.inline_outer(F.arrays_zip(
+        F.col("terms").alias("_a"), F.slice("terms", 2, F.greatest(F.size("terms"), F.lit(1))).alias("_b"))))
+    kept = pairs.join(F.broadcast(top), "_a")
+    both = F.array(F.col("_a"), F.concat("_a", F.lit(" "), "_b"))
+    return kept.select("item_id", F.explode(both).alias("term")).where("term is not null")
 
 
 def term_frequencies(doc_terms: DataFrame) -> DataFrame:
     """(item_id, term, tf): grouped within the item partitions (no shuffle)."""
-    return (doc_terms.select("item_id", F.explode("terms").alias("term"))
-            .groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    # No inferred filter on the array's size, which would evaluate the terms' expression once more.
+    return _frequencies(doc_terms.select("item_id", F.explode_outer("terms").alias("term")).where("term is not null"))
+
+
+def _frequencies(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(tf: DataFrame, max_features: int | None, n_docs: Column) -> DataFrame:
@@ -104,7 +110,7 @@ def vocabulary(tf: DataFrame, max_features: int | None, n_docs: Column) -> DataF
 
 def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int = 2,
               variant: str = "smooth", partitions: int | None = None, materialize: bool = True,
-              prune: bool = True) -> TfidfModel:
+              prune: bool = True, terms: DataFrame | None = None) -> TfidfModel:
     """F-2: fit vocabulary and weights over the whole catalogue.
 
     With ``materialize`` the term frequencies and the weights are written
@@ -112,14 +118,18 @@ def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int
     loss, keeps the ``item_id`` partitioning), so the tokeniser runs once
     however often the model is used.  With ``prune`` (and a bounded
     vocabulary) terms that provably cannot enter the vocabulary are dropped
-    before the per-item aggregation (see ``pruned_item_terms``).
+    before the per-item aggregation (see ``pruned_terms``).  ``terms``
+    may hold the items' ``tokenised`` terms, so that several models share them.
     """
-    if max_features and prune and ngram_max >= 2:
-        doc_terms = pruned_item_terms(items, max_features, ngram_max, partitions)
+    if terms is None:
+        terms = tokenised(items, partitions) if materialize else item_terms(items, 1, partitions)
+    if ngram_max >= 2 and max_features and prune:
+        tf = _frequencies(pruned_terms(terms, max_features))
+    elif ngram_max >= 2:
+        tf = term_frequencies(terms.select("item_id", with_bigrams("terms").alias("terms")))
     else:
-        doc_terms = item_terms(items, ngram_max, partitions)
+        tf = term_frequencies(terms)
     n_docs = items.select(F.count(F.lit(1))).scalar()
-    tf = term_frequencies(doc_terms)
     if materialize:
         tf = cut_lineage(tf)
     vocab = vocabulary(tf, max_features, n_docs)
@@ -143,7 +153,7 @@ def fit_tfidf(items: DataFrame, max_features: int | None = 5000, ngram_max: int
         weights = cut_lineage(weights)
     per_item = weights.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n2"),
                                               F.first("l1").alias("n1"))
-    ids = doc_terms.select("item_id")
+    ids = terms.select("item_id")
     item_norms = (ids.join(per_item, "item_id", "left")
                   .select("item_id", F.coalesce("n2", F.lit(0.0)).alias("n2"),
                           F.coalesce("n1", F.lit(0.0)).alias("n1")))
