@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,76 +65,83 @@ def genre_distribution_text(df: DataFrame, text_col: str = "genres_str", top: in
     return counts.orderBy(F.desc("n_items"), F.asc("genre")).limit(top).where(F.col("genre") != "")
 
 
-APPROX_ACCURACY = 10_000
+APPROX_ACCURACY = 1 << 13     # parts of the numbers' range that one round of the selection tells apart
 
 
-def _order_statistics(values: DataFrame, ranks: set[int], n: int) -> dict[int, float]:
-    """Exact k-th smallest (0-based) of column ``v`` for every rank k, without a global sort or a collect of values.
+def _keys(values: np.ndarray) -> np.ndarray:
+    """64-bit keys that sort like the numbers (-0 as 0, NaN last)."""
+    bits = (values + 0.0).view(np.int64)
+    return np.where(bits < 0, ~bits, bits ^ np.int64(-2**63)).view(np.uint64)
 
-    ``percentile_approx`` brackets each rank; counts below and at the bracket
-    ends tell whether an end is the value sought (a tied value, however many
-    rows share it) or in which part the rank lies.  A bracket shrinks by about
-    the sketch accuracy per round.  All ranks share a round's two aggregation
-    jobs; no task holds more than the sketches.
+
+def _value(key: int) -> float:
+    bits = key ^ (1 << 63) if key >> 63 else ~key & (2**64 - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+def _order_statistics(df: DataFrame, ranks: dict[str, set[int]]) -> dict[tuple[str, int], float]:
+    """Exact k-th smallest (0-based) non-null value of each double column, for every rank k asked for.
+
+    Radix selection: a value's bits make a key that sorts like it; each round counts the next 13 bits of the keys that
+    agree with a rank's bits so far.  One job per round for all columns and ranks, and five rounds whatever the data;
+    tasks and driver hold counts only, at most ``APPROX_ACCURACY`` per rank.
     """
-    v = F.col("v")
-    eps = 2.0 / APPROX_ACCURACY
-    found: dict[int, float] = {}
-    brackets = {k: (None, None, 0, n) for k in ranks}    # lo < v < hi; values up to lo, values below hi
-    while brackets:
-        asked = []
-        for k, (lo, hi, below, upto) in brackets.items():
-            inside = F.lit(True)
-            if lo is not None:
-                inside = inside & (v > lo)
-            if hi is not None:
-                inside = inside & (v < hi)
-            t = (k - below) / max(upto - below - 1, 1)
-            asked.append(F.percentile_approx(F.when(inside, v), [max(0.0, t - eps), min(1.0, t + eps)],
-                                             APPROX_ACCURACY).alias(f"q{k}"))
-        ends = values.agg(*asked).first()
-        counts = values.agg(*(c for k in brackets for i, x in enumerate(ends[f"q{k}"])
-                              for c in (F.count_if(v < x).alias(f"lt{k}_{i}"),
-                                        F.count_if(v <= x).alias(f"le{k}_{i}")))).first()
-        shrunk = {}
-        for k, (lo, hi, below, upto) in brackets.items():
-            a, b = ends[f"q{k}"]
-            lt_a, le_a, lt_b, le_b = (counts[f"{c}{k}_{i}"] for i in (0, 1) for c in ("lt", "le"))
-            if lt_a <= k < le_a:
-                found[k] = a
-            elif lt_b <= k < le_b:
-                found[k] = b
-            elif k < lt_a:
-                shrunk[k] = (lo, a, below, lt_a)
-            elif k < lt_b:
-                shrunk[k] = (a, b, le_a, lt_b)
-            else:
-                shrunk[k] = (b, hi, le_b, upto)
-        brackets = shrunk
-    return found
+    at = {(c, k): (0, 0) for c, ks in ranks.items() for k in ks}          # key bits so far, values below them
+    cols = [c for c in ranks if ranks[c]]
+    told = 64
+    while told and at:
+        width = min(max(1, APPROX_ACCURACY.bit_length() - 1), told)
+        told -= width
+        heads = {c: np.array(sorted({at[c, k][0] for k in ranks[c]}), np.uint64) for c in cols}
+
+        def count(batches, heads=heads, told=told, width=width):
+            for batch in batches:
+                for n, c in enumerate(cols):
+                    key = _keys(batch.column(n).drop_null().to_numpy(zero_copy_only=False))
+                    head = key >> np.uint64(told + width) if told + width < 64 else np.zeros(len(key), np.uint64)
+                    place = np.minimum(np.searchsorted(heads[c], head), len(heads[c]) - 1)
+                    digit = (key >> np.uint64(told)) & np.uint64((1 << width) - 1)
+                    kept = heads[c][place] == head
+                    found, many = np.unique((place[kept] << width) + digit[kept].astype(np.int64), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), n, np.int32)), pa.array(found), pa.array(many)],
+                                                     ["c", "d", "n"])
+
+        rows = df.select(*cols).mapInArrow(count, "c int, d long, n long").groupBy("c", "d").agg(F.sum("n").alias("n")).collect()
+        counts: dict[tuple[int, int], list] = {}
+        for r in rows:
+            counts.setdefault((r["c"], r["d"] >> width), []).append((r["d"] & ((1 << width) - 1), r["n"]))
+        for (c, k), (head, below) in at.items():
+            place = int(np.searchsorted(heads[c], np.uint64(head)))
+            for digit, n in sorted(counts[cols.index(c), place]):
+                if k < below + n:
+                    at[c, k] = (head << width | digit, below)
+                    break
+                below += n
+    return {x: _value(head) for x, (head, _) in at.items()}
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], n: int | None = None) -> tuple[int, list]:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule), by one search for all needed ranks."""
-    values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    if n is None:
-        n = values.count()
-    if n == 0:
-        return 0, [None] * len(probs)
-    places = [(n - 1) * p for p in probs]
-    at = _order_statistics(values, {min(int(x) + up, n - 1) for x in places for up in ((0, 1) if x > int(x) else (0,))},
-                           n)
-    out = []
-    for pos in places:
-        r1 = int(pos)
-        v1 = at[r1]
-        v2 = v1 if pos == r1 else at[min(r1 + 1, n - 1)]
-        out.append(v1 + (v2 - v1) * (pos - r1))
-    return n, out
+    """The number of non-null values of a column, and their quantiles as ``column_quantiles`` has them."""
+    values = df.select(F.col(col).cast("double").alias(col))
+    n = values.agg(F.count(col)).first()[0] if n is None else n
+    return n, column_quantiles(values, {col: probs}, {col: n})[col]
+
+
+def column_quantiles(df: DataFrame, probs: dict[str, list[float]], counts: dict[str, int]) -> dict[str, list]:
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont`` rule) of double columns with so many non-null
+    values, by one selection for all of them."""
+    places = {c: [(counts[c] - 1) * p for p in ps] if counts[c] else [] for c, ps in probs.items()}
+    found = _order_statistics(df, {c: {min(int(x) + up, counts[c] - 1) for x in xs for up in ((0, 1) if x > int(x) else (0,))}
+                                   for c, xs in places.items()})
+    out = {}
+    for c, xs in places.items():
+        ends = [(found[c, int(x)], found[c, min(int(x) + (x > int(x)), counts[c] - 1)], x - int(x)) for x in xs]
+        out[c] = [a + (b - a) * t for a, b, t in ends] or [None] * len(probs[c])
+    return out
 
 
 def rating_center(df: DataFrame, col: str = "vote_average") -> DataFrame:
-    """A-5: mean and exact median (distributed k-th value search, see ``_kth``)."""
+    """A-5: mean and exact median (distributed radix selection)."""
     df = cut_lineage(df.select(F.col(col).cast("double").alias(col)))
     _, (med,) = exact_quantiles(df, col, [0.5])
     return df.agg(F.round(F.avg(col), 6).alias("mean_rating")) \
@@ -194,8 +203,8 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """A-9: count, mean, sample std, min, quartiles (exact, interpolated), max per column.
 
     Moments and extremes come from one aggregation; quartiles from the
-    distributed exact search (``exact_quantiles``), never a single-task
-    percentile buffer.
+    distributed exact selection (``column_quantiles``), never a single-task
+    percentile buffer.  The number of jobs does not depend on the columns.
     """
     cols = [c for c in cols if c in df.columns]
     # The quantile rounds re-read the columns: materialise the projection once.
@@ -207,8 +216,9 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
-    counts = wide.select(*[F.col(f"{c}__count") for c in cols]).first()
-    quart = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75], counts[f"{c}__count"])[1] for c in cols}
+    row = wide.first()
+    quart = column_quantiles(df, {c: [0.25, 0.5, 0.75] for c in cols}, {c: row[f"{c}__count"] for c in cols})
+    wide = df.sparkSession.createDataFrame([row], wide.schema)
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"),
                  F.col(f"{c}__count").cast("bigint").alias("count"),

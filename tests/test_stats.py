@@ -104,3 +104,23 @@ def test_exact_quantiles_bracket_search_with_ties(spark, monkeypatch):
     ps = [0.0, 0.1, 0.25, 0.5, 0.6, 0.75, 0.999, 1.0]
     n, got = stats.exact_quantiles(df, "x", ps)
     assert n == 6000 and got == list(np.quantile(vals, ps))
+
+
+def test_selection_of_exact_quantiles(spark):
+    """Ties, negative and tiny numbers, infinities, nulls, an empty and a constant column, in five jobs."""
+    import numpy as np
+
+    from marquee.operators import stats
+    rng = np.random.default_rng(3)
+    cols = {"a": [float(x) for x in rng.normal(size=301)], "b": [float(x) for x in rng.integers(-3, 3, 301)],
+            "c": [None] * 301, "d": [7.5] * 301, "e": [float(x) for x in 10.0 ** rng.uniform(-300, 300, 300) * rng.choice((-1, 1), 300)] + [None],
+            "f": [float("inf"), float("-inf"), -0.0, 0.0, 5e-324] * 60 + [None]}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols)).repartition(5)
+    counts = {c: sum(x is not None for x in v) for c, v in cols.items()}
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = stats.column_quantiles(df, {c: probs for c in cols if c != "f"}, counts)
+    assert got["c"] == [None] * 7
+    for c in "abde":
+        assert np.allclose(got[c], np.quantile([x for x in cols[c] if x is not None], probs), rtol=1e-12)
+    found = stats._order_statistics(df, {"f": {0, 60, 179, 180, 239, 299}})
+    assert [found["f", k] for k in (0, 60, 179, 180, 239, 299)] == [float("-inf"), 0.0, 0.0, 5e-324, 5e-324, float("inf")]
