@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,7 +98,7 @@ def _epoch_fn(bstate, shapes, mu, sd, lr, batch, alpha, epoch, seed):
         sse_val = 0.0
         sy = sy2 = 0.0
         n_val = 0
-        rng = np.random.default_rng(seed * 1_000_003 + epoch)
+        rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -155,7 +156,8 @@ def fit_mlp(data: DataFrame, dim: int, hidden: tuple[int, ...] = (256, 128, 64),
     spark = data.sparkSession
     buckets = int(round(1 / validation_fraction))
     d = data.withColumn("is_val", (F.pmod(F.xxhash64("item_id", F.lit(seed)), F.lit(buckets)) == 0))
-    d = cut_lineage(d.repartition(shuffle_partitions(spark), "item_id"))
+    # Sorted: a recomputed partition sees its rows in the same order and trains the same model.
+    d = cut_lineage(d.repartition(shuffle_partitions(spark), "item_id").sortWithinPartitions("item_id"))
     mu, sd = column_scaler(d, dim)
     shapes = _shapes(dim, hidden)
     theta = _init(shapes, seed)

@@ -1,17 +1,21 @@
 """Truncated, uncentred SVD of the TF-IDF matrix (R-7, R-8).
 
-1. One distributed pass builds the Gramian ``XᵀX`` (vocabulary × vocabulary,
-   bounded by ``max_features``): each partition multiplies dense blocks of its
-   rows and the partial matrices are summed by piece.
-2. ``numpy.linalg.eigh`` on the driver gives the right singular vectors
-   ``V`` and ``σ² = λ``; the matrix is sized by the vocabulary, not the data.
-3. Item factors ``X·V_k`` (rows of ``UΣ``, what the reference's transformer
-   returns) are computed per partition in ``mapInPandas`` with ``V_k``
-   broadcast once.
-
-Explained variance (uncentred SVD, population variances as the reference's
-library reports): ``Σ_k var(z_k) / Σ_j var(x_j)``, both from the Gramian and
-the column sums, so no extra pass over the data.
+Up to ``DIRECT`` vocabulary terms, one distributed pass builds the Gramian
+``XᵀX`` (dense blocks of rows are multiplied in each task, the partial matrices
+summed by piece) and ``numpy.linalg.eigh`` on the driver gives the right
+singular vectors ``V`` and ``σ² = λ``.
+
+Beyond that no task holds a vocabulary × vocabulary matrix: a randomised range
+finder works on the row space.  From a random vocabulary × (k + 10) basis each
+pass computes ``Xᵀ(X·basis)``, block by block, and the driver orthonormalises
+the sum; ``PASSES`` power steps later the small matrix ``(X·basis)ᵀ(X·basis)``
+gives ``V`` and ``σ`` within the basis.
+
+Item factors ``X·V_k`` (rows of ``UΣ``, what the reference's transformer
+returns) are computed per partition with ``V_k`` broadcast once.  Explained
+variance (uncentred SVD, population variances as the reference's library
+reports): ``Σ_k var(z_k) / Σ_j var(x_j)``, from ``λ``, the squares and the
+column sums, so no extra pass over the data.
 """
 
 from __future__ import annotations
@@ -20,13 +24,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .combine import gramian
+from .combine import gramian, sparse_batches, sum_arrays
 from .tfidf import TfidfModel
 
+DIRECT = 4096                # largest vocabulary whose Gramian is built
+EXTRA, PASSES = 10, 6        # of the range finder: more columns than components, power steps
+BLOCK = 512                  # rows made dense at once
+
 
 @dataclass
 class SvdModel:
@@ -58,27 +67,65 @@ def _project_fn(bvk, k: int):
     return fn
 
 
-def fit_svd(model: TfidfModel, n_components: int = 100) -> SvdModel:
+def _through(rows: DataFrame, basis: np.ndarray, inner: bool) -> np.ndarray:
+    """``Xᵀ(X·basis)``, or with ``inner`` ``(X·basis)ᵀ(X·basis)``: a task holds matrices of the basis's size."""
+    told = rows.sparkSession.sparkContext.broadcast(basis)
+    dim, k = basis.shape
+
+    def run(batches):
+        basis = told.value
+        out = np.zeros((k, k) if inner else (dim, k))
+        step = max(1, min(BLOCK, (1 << 23) // dim))
+        for n, owner, idx, val, _ in sparse_batches(batches):
+            cuts = np.searchsorted(owner, np.arange(0, n + step, step))
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    x = np.zeros((step, dim))
+                    x[owner[a:b] % step, idx[a:b]] = val[a:b]
+                    y = x @ basis
+                    out += y.T @ y if inner else x.T @ y
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["g"])
+
+    out = sum_arrays(rows.select("idx", "val").mapInArrow(run, "g binary"))
+    told.unpersist()
+    return out.reshape((k, k) if inner else (dim, k))
+
+
+def right_vectors(rows: DataFrame, dim: int, k: int, direct: int = DIRECT, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(λ, V): the ``k`` largest eigenvalues of ``XᵀX``, descending, and their vectors, from ``rows(idx, val)``."""
+    if dim <= direct:
+        g, basis = gramian(rows, dim), None
+    else:
+        width = min(dim, k + EXTRA)
+        basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, width)))[0]
+        for _ in range(PASSES):
+            basis = np.linalg.qr(_through(rows, basis, False))[0]
+        g = _through(rows, basis, True)
+    lam, vec = np.linalg.eigh(g)
+    order = np.argsort(lam)[::-1][:k]
+    vec = vec[:, order] if basis is None else basis @ vec[:, order]
+    return np.clip(lam[order], 0.0, None), vec
+
+
+def fit_svd(model: TfidfModel, n_components: int = 100, direct: int = DIRECT) -> SvdModel:
     if not model.max_features:
-        raise ValueError("SVD needs a bounded vocabulary (max_features): the Gramian is vocabulary × vocabulary")
+        raise ValueError("SVD needs a bounded vocabulary (max_features): its basis is vocabulary × components")
     dim = model.vocab.count()
-    rows = cut_lineage(sparse_rows(model))           # for the Gramian and the projection
-    g = gramian(rows, dim)
-    lam, vec = np.linalg.eigh(g)
-    order = np.argsort(lam)[::-1][:min(n_components, dim)]
-    lam_k, v_k = np.clip(lam[order], 0.0, None), vec[:, order]
+    rows = cut_lineage(sparse_rows(model))           # for the passes and the projection
+    lam_k, v_k = right_vectors(rows, dim, min(n_components, dim), direct)
     k = v_k.shape[1]
 
     # Column sums (bounded by the vocabulary) and the row count for the variances.
-    cs = (model.weights.groupBy("term").agg(F.sum("weight").alias("s"))
-          .join(model.vocab.select("term", "term_index"), "term").select("term_index", "s").collect())
-    colsum = np.zeros(dim)
+    cs = (model.weights.groupBy("term").agg(F.sum("weight").alias("s"), F.sum(F.col("weight") ** 2).alias("ss"))
+          .join(model.vocab.select("term", "term_index"), "term").select("term_index", "s", "ss").collect())
+    colsum, squares = np.zeros(dim), 0.0
     for r in cs:
         colsum[r["term_index"]] = r["s"]
+        squares += r["ss"]
     n = model.item_norms.count()
     mean_z = (colsum @ v_k) / n
     var_z = lam_k / n - mean_z ** 2
-    total_var = np.trace(g) / n - np.sum((colsum / n) ** 2)
+    total_var = squares / n - np.sum((colsum / n) ** 2)
     ratio = float(var_z.sum() / total_var) if total_var > 0 else 0.0
 
     return SvdModel(factors=project(model.item_norms.select("item_id"), rows, v_k), singular_values=np.sqrt(lam_k),
