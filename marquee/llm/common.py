@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
@@ -49,6 +49,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever their names."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

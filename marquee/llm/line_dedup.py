@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole_row
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -79,7 +79,7 @@ class LineIndex:
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Every row of ``docs`` as ``row``, with ``_text`` (kept lines), ``_n_lines`` and ``_n_dropped``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), text.alias("text"),
+    keyed = docs.select(whole_row(docs).alias("row"), text.alias("text"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"))
     keyed = keyed.withColumn("version", F.xxhash64("text"))
     cuts = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), [k / batches for k in range(1, batches)],

@@ -19,6 +19,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+
+from .common import whole_row
 
 SAMPLE_EVERY = 64
 BLANKS = " \t\n\x0b\x0c\r"
@@ -137,8 +140,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, features: tuple[str,
 
     made = {"kept": pa.bool_()} | ({"base_failed": pa.bool_()} | dict.fromkeys(features, pa.int64()) if features else {})
     assert {r.name for r in BASE} <= {r.name for r in rules}
-    row = F.struct(*docs.columns)
-    kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
-    more = "".join(f", {f} long" for f in features)
-    return docs.select(row.alias("row")).mapInArrow(
-        run, f"row {kind}, kept boolean" + ", base_failed boolean" * bool(features) + more)
+    rows = docs.select(whole_row(docs).alias("row"))
+    kind = StructType([*rows.schema.fields, StructField("kept", BooleanType())])
+    if features:
+        kind = StructType([*kind.fields, StructField("base_failed", BooleanType()), *(StructField(f, LongType()) for f in features)])
+    return rows.mapInArrow(run, kind)
