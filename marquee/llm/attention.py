@@ -37,12 +37,14 @@ def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cls, np.log10((counts + 1.0) / total[cls])
 
 
+SHAPES = {"emb": (CLASSES + 2, DIM), "pos": (WIDTH, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM),
+          "o": (DIM, DIM), "group": (DIM + 1, GROUPS), "member": (GROUPS, DIM + 1, MEMBERS)}
+
+
 def new_params(seed: int = 1) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    shapes = {"emb": (CLASSES + 2, DIM), "pos": (WIDTH, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM),
-              "o": (DIM, DIM), "group": (DIM + 1, GROUPS), "member": (GROUPS, DIM + 1, MEMBERS)}
     scale = {"emb": 0.5, "pos": 0.3, "group": 0.1, "member": 0.1}
-    return {n: (rng.standard_normal(s) * scale.get(n, DIM**-0.5)).astype(np.float32) for n, s in shapes.items()}
+    return {n: (rng.standard_normal(s) * scale.get(n, DIM**-0.5)).astype(np.float32) for n, s in SHAPES.items()}
 
 
 def flat(params: dict[str, np.ndarray]) -> np.ndarray:
@@ -51,9 +53,10 @@ def flat(params: dict[str, np.ndarray]) -> np.ndarray:
 
 def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, p in new_params().items():
-        out[name] = values[at:at + p.size].reshape(p.shape).astype(np.float32)
-        at += p.size
+    for name, shape in SHAPES.items():
+        size = int(np.prod(shape))
+        out[name] = values[at:at + size].reshape(shape).astype(np.float32, copy=False)
+        at += size
     return out
 
 
@@ -83,6 +86,31 @@ def cut_windows(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return inputs, targets, np.repeat(np.arange(len(seqs)), counts)
 
 
+def chunks(seq: np.ndarray, windows: int) -> list[np.ndarray]:
+    """The class sequence in runs of at most ``windows`` windows; each has what its windows' inputs and targets need."""
+    n = len(seq) // STEP + 1
+    line = np.full(CONTEXT + STEP * n + 1, PAD, np.int16)
+    line[CONTEXT] = START
+    line[CONTEXT + 1:CONTEXT + 1 + len(seq)] = seq
+    line[CONTEXT + 1 + len(seq)] = END
+    return [line[STEP * a:STEP * min(n, a + windows) + CONTEXT + 1] for a in range(0, n, windows)]
+
+
+def cut_chunks(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets of all windows of ``chunks``, as ``cut_windows`` gives them."""
+    counts = [(len(x) - CONTEXT - 1) // STEP for x in parts]
+    inputs, targets = np.empty((sum(counts), WIDTH), np.int16), np.empty((sum(counts), STEP), np.int16)
+    at = 0
+    for x, n in zip(parts, counts):
+        inputs[at:at + n, :CONTEXT] = x[:STEP * n].reshape(n, STEP)
+        inputs[at:at + n, CONTEXT:] = x[CONTEXT:CONTEXT + STEP * n].reshape(n, STEP)
+        targets[at:at + n] = x[CONTEXT + 1:CONTEXT + 1 + STEP * n].reshape(n, STEP)
+        at += n
+    inputs[inputs == END] = PAD                              # the end is a target only
+    targets[targets == PAD] = -1
+    return inputs, targets
+
+
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray):
     x = np.take(p["emb"], inputs, axis=0)
     x += p["pos"]
@@ -179,12 +207,14 @@ def train(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, ste
           seed: int) -> dict[str, np.ndarray]:
     """Adam over ``steps`` minibatches (more if one pass over the windows takes more)."""
     rng = np.random.default_rng(seed)
-    w, m, s = flat(p).astype(np.float64), 0.0, 0.0
+    w = flat(p)
+    m, s = np.zeros_like(w), np.zeros_like(w)
     steps = max(steps, -(-len(inputs) // batch))
     order = np.concatenate([rng.permutation(len(inputs)) for _ in range(-(-steps * batch // len(inputs)))])
     for t in range(1, steps + 1):
         pick = order[(t - 1) * batch:t * batch]
         g = flat(gradients(shaped(w), inputs[pick], targets[pick]))
-        m, s = 0.9 * m + 0.1 * g, 0.98 * s + 0.02 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.98**t)) + 1e-8)
+        m += np.float32(0.1) * (g - m)
+        s += np.float32(0.02) * (g * g - s)
+        w -= np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(s * np.float32(1 / (1 - 0.98**t))) + np.float32(1e-8))
     return shaped(w)

@@ -5,15 +5,17 @@ is not 2 train it, the others are held out.
 
 1. All words of the training documents are counted (combined per batch, then by a shuffle).  Subword counts follow
    from the word counts, since the tokenizer never joins across white space; they give the token classes.
-2. All training documents are cut into windows.  Each window is in one of the rounds, dealt by a hash, so the rounds
-   together are one pass over the training text.  In each round every partition trains from the common parameters, and the partitions' parameters are averaged by a Spark aggregation
-   (as many numbers as the model has).
-3. One pass over all documents computes the model's score and the sum over frequent words.  The words' counts are at
-   hand for at most ``KNOWN`` words of at most ``KNOWN_BYTES`` bytes; all other words meet their counts in a join, in
-   which no key can be frequent.
+2. One pass over all texts stores their token classes and the sum over frequent words.  The words' counts are at hand
+   for at most ``KNOWN`` words of at most ``KNOWN_BYTES`` bytes; all other words meet their counts in a join, in which
+   no key can be frequent.
+3. All training documents' classes are cut into chunks of windows, dealt by a hash to partitions and rounds, so that the
+   rounds together are one pass over the training text.  In each round every partition trains from the common
+   parameters, and the partitions' parameters are averaged by a Spark aggregation (as many numbers as the model has).
+4. The stored classes are scored.
 
 Defined results: null text is the empty text, which has the end token only; a null doc_id counts as the text '';
-repeated rows train and are scored one by one; an empty table gives no rows.
+repeated rows train and are scored one by one; very long texts are cut into chunks for training and scored whole; an
+empty table gives no rows.  A table too small to give a round any window leaves the parameters as they were drawn.
 """
 
 from __future__ import annotations
@@ -30,7 +32,10 @@ from . import attention, bpe
 from .common import parallelism, stored
 
 TRAIN_EVERY = 1              # all training documents
-STEPS, BATCH = 40, 64
+STEPS = 128                  # least number of steps per round and part of a partition
+LEAST, BATCH = 32, 256       # windows per step: as many as give STEPS steps, between these
+CHUNK = 32                   # windows that are dealt together
+PART = 2500                  # chunks that a task holds as windows at once
 RATES = (0.02, 0.012, 0.006, 0.002)       # one round each, a share of the windows each
 KNOWN, KNOWN_BYTES = 100_000, 64
 END_WORD = b""               # a word is never empty, so this stands for the end of a text
@@ -84,31 +89,43 @@ def token_counts(words: DataFrame, path: str) -> np.ndarray:
     return out
 
 
-def class_sequences(texts: list[str | None], encoder, cls: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    ids = [np.frombuffer(x, "<u4") for x in encoder.encode([x or "" for x in texts])]
-    return ids, [cls[x] for x in ids]
+def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_EVERY) -> dict[str, np.ndarray]:
+    """Parameters from the training rows of ``docs(doc_id, text)``, with the class of every token id."""
+
+    def encode(batches):
+        encoder = bpe.load(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                ids = encoder.encode([x or "" for x in batch.column(1).slice(at, SLICE).to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, SLICE), pa.array([cls[np.frombuffer(x, "<u4")].astype("<i2").tobytes() for x in ids],
+                                                                pa.binary())], ["doc_id", "classes"])
 
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return train_on(rows.mapInArrow(encode, "doc_id long, classes binary"), every)
+
+
+def train_on(classes: DataFrame, every: int = TRAIN_EVERY) -> dict[str, np.ndarray]:
+    """Parameters from the training rows of ``classes(doc_id, classes)``."""
 
-def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_EVERY) -> dict[str, np.ndarray]:
     def cut(batches):
-        encoder = bpe.load(path)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
-                _, seqs = class_sequences(batch.column(1).slice(at, SLICE).to_pylist(), encoder, cls)
-                inputs, targets, owner = attention.cut_windows(seqs)
-                rows = [x.tobytes() for x in np.concatenate([inputs, targets], axis=1)]
+                keys = batch.column(0).slice(at, SLICE)
+                parts = [attention.chunks(np.frombuffer(x, "<i2"), CHUNK) for x in batch.column(1).slice(at, SLICE).to_pylist()]
+                owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+                rows = [x.tobytes() for p in parts for x in p]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, SLICE).take(pa.array(owner)), pa.array(np.arange(len(rows))),
-                     pa.array(rows, pa.binary())], ["doc_id", "place", "window"])
+                    [keys.take(pa.array(owner)), pa.array(np.arange(len(rows))), pa.array(rows, pa.binary())],
+                    ["doc_id", "place", "chunk"])
 
-    chosen = docs.where(~held_out(F.col("doc_id"))).where(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(every)) == 0)
-    windows = chosen.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        cut, "doc_id long, place long, window binary")
+    chosen = classes.where(~held_out(F.col("doc_id"))).where(
+        F.pmod(F.xxhash64(F.col("doc_id")), F.lit(every)) == 0)
+    chunks = chosen.select("doc_id", "classes").mapInArrow(cut, "doc_id long, place long, chunk binary")
     # Dealt evenly, in a fixed order: a lost partition trains the same model again.
-    turn = F.pmod(F.xxhash64("doc_id", "place", "window"), F.lit(len(RATES))).cast("int")
-    windows = stored(windows.repartition(parallelism(docs.sparkSession), "doc_id", "place").select(
-        "doc_id", "place", "window", turn.alias("turn")), "windows")
+    turn = F.pmod(F.xxhash64("doc_id", "place", "chunk"), F.lit(len(RATES))).cast("int")
+    chunks = stored(chunks.repartition(parallelism(classes.sparkSession), "doc_id", "place").select(
+        "doc_id", "place", "chunk", turn.alias("turn")), "chunks")
     params = attention.new_params()
     for turn, rate in enumerate(RATES):
 
@@ -116,17 +133,19 @@ def train_model(docs: DataFrame, path: str, cls: np.ndarray, every: int = TRAIN_
             # A partition's windows come in bounded batches; each goes on from where the last one ended.
             p, n = params, 0
             for batch in batches:
-                if batch.num_rows:
-                    x = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int16).reshape(batch.num_rows, -1)
-                    p = attention.train(p, x[:, :attention.WIDTH], x[:, attention.WIDTH:], STEPS, BATCH, rate, n)
-                    n += batch.num_rows
+                for at in range(0, batch.num_rows, PART):
+                    x = attention.cut_chunks([np.frombuffer(c, "<i2") for c in batch.column(0).slice(at, PART).to_pylist()])
+                    size = min(BATCH, max(LEAST, len(x[0]) // STEPS))
+                    p = attention.train(p, *x, STEPS, size, rate * (size / 64)**0.5, n)
+                    n += len(x[0])
             if n:
                 w = attention.flat(p)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(w))), pa.array(w.astype(np.float64) * n), pa.array(np.full(len(w), n))],
                     ["at", "w", "n"])
 
-        total = windows.where(F.col("turn") == turn).sortWithinPartitions("doc_id", "place", "window").select("window").mapInArrow(fit, "at long, w double, n long").groupBy("at").agg(
+        rows = chunks.where(F.col("turn") == turn).sortWithinPartitions("doc_id", "place", "chunk").select("chunk")
+        total = rows.mapInArrow(fit, "at long, w double, n long").groupBy("at").agg(
             (F.sum("w") / F.sum("n")).alias("w")).collect()
         if not total:
             continue
@@ -161,21 +180,18 @@ def score_documents(docs: DataFrame, path: str, every: int = TRAIN_EVERY) -> Dat
     counts = token_counts(words, path)
     cls, share = attention.classes_of(counts)
     params = train_model(docs, path, cls, every)
-    ready = spark.sparkContext.broadcast((frequent_words(words), cls, share, params))
+    ready = spark.sparkContext.broadcast((frequent_words(words), cls, share))
     base = float(np.log10(n_all + n_distinct + 1))
 
-    def score(batches):
-        known, cls, share, params = ready.value
+    def encode(batches):
+        known, cls, share = ready.value
         value = {w: float(np.log10(c + 1)) for w, c in known.items()}
         end_share = value.get(END_WORD)
         encoder = bpe.load(path)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 texts = batch.column(1).slice(at, SLICE).to_pylist()
-                ids, seqs = class_sequences(texts, encoder, cls)
-                inputs, targets, owner = attention.cut_windows(seqs)
-                lp = attention.log10_probabilities(params, inputs, targets).sum(axis=1)
-                model = np.bincount(owner, lp, minlength=len(texts)) + [share[x].sum() for x in ids]
+                ids = [np.frombuffer(x, "<u4") for x in encoder.encode([x or "" for x in texts])]
                 rows = []
                 for text in texts:
                     cut = words_of(text)
@@ -191,14 +207,28 @@ def score_documents(docs: DataFrame, path: str, every: int = TRAIN_EVERY) -> Dat
                 n, k, total, rare = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, SLICE), pa.array(n, pa.int64()), pa.array(k, pa.int64()),
-                     pa.array(total, pa.float64()), pa.array(model, pa.float64()),
+                     pa.array(total, pa.float64()), pa.array([float(share[x].sum()) for x in ids], pa.float64()),
+                     pa.array([cls[x].astype("<i2").tobytes() for x in ids], pa.binary()),
                      pa.array([[{"word": w, "n": c} for w, c in x] for x in rare],
                               pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
-                    ["doc_id", "n_tokens", "n_sure", "sure", "score", "rare"])
+                    ["doc_id", "n_tokens", "n_sure", "sure", "share", "classes", "rare"])
+
+    rows = docs.mapInArrow(encode, "doc_id long, n_tokens long, n_sure long, sure double, share double, classes binary, "
+                                   "rare array<struct<word:binary,n:bigint>>")
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "encoded")
+    trained = spark.sparkContext.broadcast(train_on(rows.select("doc_id", "classes"), every))
+
+    def score(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                seqs = [np.frombuffer(x, "<i2") for x in batch.column(2).slice(at, SLICE).to_pylist()]
+                inputs, targets, owner = attention.cut_windows(seqs)
+                lp = attention.log10_probabilities(trained.value, inputs, targets).sum(axis=1)
+                model = np.bincount(owner, lp, minlength=len(seqs)) + batch.column(1).slice(at, SLICE).to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, SLICE), pa.array(model)], ["row", "score"])
 
-    rows = docs.mapInArrow(score, "doc_id long, n_tokens long, n_sure long, sure double, score double, "
-                                  "rare array<struct<word:binary,n:bigint>>")
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
+    scores = stored(rows.select("row", "share", "classes").mapInArrow(score, "row long, score double"), "scores")
+    rows = rows.drop("classes").join(scores, "row")
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(words, "word")
     rare = rare.groupBy("row").agg(F.sum("n").alias("n_rare"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
     out = rows.drop("rare").join(rare, "row", "left")
