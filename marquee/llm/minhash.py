@@ -6,7 +6,9 @@ for it (optimal densification).  ``BANDS`` bands of ``ROWS`` bins give buckets.
 class, whatever their number.  In a bucket each class is joined to a few centres drawn from the bucket (stars).  Pairs
 whose signatures agree in too few bins are left out, with a margin of over four standard deviations; the others are
 confirmed on full sets.  Links form components.  The second round takes the buckets that still hold
-several components and tries every pair across them, by blocks of signatures.
+several components and compares their members across them, by blocks: first by signatures, then by sketches, each the
+``SKETCH`` least hashes of a set, which for most sets is the whole set.  What a block finds to be linked leaves it as a
+forest, at most one edge a member; only pairs of longer sets that are near the threshold are emitted one by one.
 
 At a similarity of 0.8 two documents miss each other in all bands with probability 5e-5.  Hashes of words and shingles
 have 64 bits, set fingerprints 128.
@@ -33,6 +35,8 @@ BINS, BANDS, ROWS = 128, 25, 5
 CENTRES = 3                  # per bucket, in the first round
 BLOCK = 1024                 # members of a bucket compared at once in the second round
 AGREE = 0.64                 # least share of equal bins of a pair that is worth the exact test
+SKETCH = 512                 # least hashes of a set that the second round compares; smaller sets are whole
+LOOSE = 8                    # points below ``percent`` at which sketches of longer sets still pass, over four deviations
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
@@ -142,8 +146,56 @@ def star_pairs(classes: DataFrame, percent: int = PERCENT, centres: int = CENTRE
     return pairs.select("a", "b", "sa", "sb").mapInArrow(agreeing, "a long, b long")
 
 
+def compared(sketches: list[np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether sketches ``x[i]`` and ``y[i]`` reach ``percent``, and whether that is certain.
+
+    Below the lesser of two last values both sets are fully known, so their similarity there is exact for whole sets
+    and an estimate from at least ``SKETCH`` hashes otherwise.
+    """
+    sizes = np.array([len(s) for s in sketches], np.int64)
+    values, ranks = np.unique(np.concatenate(sketches), return_inverse=True)
+    ends = len(values)
+    table = np.full((len(sketches), SKETCH), ends + 1, np.int32)
+    table[np.arange(SKETCH) < sizes[:, None]] = ranks
+    last = np.where(sizes < SKETCH, ends, table[:, -1])
+    marked = np.zeros(ends + 2, bool)
+    near, sure = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    order = np.argsort(x, kind="stable")
+    for pairs in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+        own = table[x[pairs[0]], :sizes[x[pairs[0]]]]
+        marked[own] = True
+        for at in range(0, len(pairs), BLOCK):
+            some = pairs[at:at + BLOCK]
+            theirs, cut = table[y[some]], np.minimum(last[x[some]], last[y[some]])
+            common = marked[theirs].sum(axis=1)
+            union = np.searchsorted(own, cut, "right") + (theirs <= cut[:, None]).sum(axis=1) - common
+            sure[some] = cut == ends
+            near[some] = 100 * common >= np.where(sure[some], percent, percent - LOOSE) * union
+        marked[own] = False
+    return near, sure
+
+
+def forest(x: np.ndarray, y: np.ndarray, sure: np.ndarray) -> np.ndarray:
+    """Places of the sure edges (x, y) that join trees, and of the others between nodes that those leave apart."""
+    root: dict[int, int] = {}
+
+    def top(a: int) -> int:
+        while (b := root.get(a, a)) != a:
+            root[a] = a = root.get(b, b)
+        return a
+
+    out = []
+    for k in np.argsort(~sure, kind="stable").tolist():
+        a, b = top(int(x[k])), top(int(y[k]))
+        if a != b:
+            out.append(k)
+            if sure[k]:
+                root[max(a, b)] = min(a, b)
+    return np.array(out, np.int64)
+
+
 def _across(rows: pa.Table, percent: int) -> pa.RecordBatch:
-    """Agreeing pairs between components within each group of neighbouring rows, in their first common bucket only."""
+    """Pairs that join components within each group of neighbouring rows, in their first common bucket only."""
     cols = {c: rows.column(c).to_numpy() for c in ("band", "bucket", "i", "j", "own", "id", "component", "n_shingles")}
     sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, BINS)
     bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
@@ -158,8 +210,16 @@ def _across(rows: pa.Table, percent: int) -> pa.RecordBatch:
         fine = (sig[x] == sig[y]).mean(axis=1) >= AGREE
         x, y = x[fine], y[fine]
         fine = (bands[x] == bands[y]).argmax(axis=1) == cols["band"][x]
-        found.append((ids[x[fine]], ids[y[fine]]))
-    a, b = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+        found.append((x[fine], y[fine]))
+    x, y = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+    if len(x):
+        used, at = np.unique(np.r_[x, y], return_inverse=True)
+        sketches = [np.frombuffer(s, np.uint64) for s in rows.column("sketch").take(pa.array(used)).to_pylist()]
+        near, sure = compared(sketches, at[:len(x)], at[len(x):], percent)
+        x, y, sure = x[near], y[near], sure[near]
+        kept = forest(comp[x], comp[y], sure)
+        x, y = x[kept], y[kept]
+    a, b = ids[x], ids[y]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
@@ -170,8 +230,23 @@ def _starts(rows: pa.Table) -> np.ndarray:
     return out
 
 
-def open_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """All pairs (a, b) between different components that share a bucket and agree in enough bins, each once.
+def sketches(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
+    """``id, sketch`` of the texts whose doc_id is in ``ids(doc_id)``."""
+
+    def run(batches):
+        for batch in batches:
+            for at, texts in slices(batch.column(1).to_pylist()):
+                found = [s[:SKETCH].tobytes() for s in shingle_sets(texts, words)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(found)), pa.array(found, pa.binary())],
+                                                 ["id", "sketch"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(run, "id long, sketch binary")
+
+
+def open_pairs(docs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) that share a bucket and join components: of those whose sketches are whole and reach ``percent`` a
+    forest in each block, of the others all that may reach it.
 
     A bucket of several blocks sends a member to every pair of blocks that its own is in, so no task has more than two
     blocks of a bucket at once.
@@ -180,11 +255,13 @@ def open_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     several = members.groupBy("band", "bucket").agg(
         F.min("component").alias("_lo"), F.max("component").alias("_hi"),
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("_lo < _hi").drop("_lo", "_hi")
-    rows = members.drop("component").join(several, ["band", "bucket"]).join(classes, "id")
+    rows = stored(members.drop("component").join(several, ["band", "bucket"]), "open")
+    known = sketches(docs, rows.select(F.col("id").alias("doc_id")).distinct(), words)
+    rows = rows.join(classes.join(known, "id"), "id")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "bucket", F.least("k", "own").alias("i"), F.greatest("k", "own").alias("j"), "own",
-        "id", "component", "n_shingles", "bands", "sig")
+        "id", "component", "n_shingles", "bands", "sig", "sketch")
     rows = rows.repartition("band", "bucket", "i", "j").sortWithinPartitions("band", "bucket", "i", "j")
 
     def across(batches):
@@ -241,7 +318,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "id", F.coalesce("component", "id").alias("component"), "n_shingles", "bands", "sig"), "labelled")
     # What the first round has linked is kept as edges to the least member.
     comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(
-        links(docs, open_pairs(labelled, percent), words, percent)))
+        links(docs, open_pairs(docs, labelled, words, percent), words, percent)))
     found = found.join(comp, found.id == comp.node, "left").select(
         "f1", "f2", F.coalesce("component", "id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "f1", "f2").join(found, ["f1", "f2"], "left")

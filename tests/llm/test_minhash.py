@@ -3,6 +3,7 @@
 import random
 
 import brute
+import numpy as np
 from pyspark.sql import functions as F
 
 from marquee.llm import minhash
@@ -61,3 +62,48 @@ def test_all_texts_of_a_doc_id_are_joined(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(minhash.near_duplicates(df)) == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), (
         11, 11, True), (12, 11, False), (13, 11, False), *[(20, 11, False)] * 3]
+
+
+def sets_of(seed):
+    """Sets around a base, smaller and larger than a sketch, one of exactly its size."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for size in (1, 40, minhash.SKETCH - 1, minhash.SKETCH, 3000):
+        base = rng.integers(0, 1 << 63, size, np.uint64)
+        for share in (0.0, 0.05, 0.1, 0.12, 0.3):
+            own = rng.integers(0, 1 << 63, size, np.uint64)
+            out.append(np.unique(np.where(rng.random(size) < share, own, base)))
+    return out
+
+
+def test_sketches_of_whole_sets_decide_as_the_sets_do():
+    sets = sets_of(1)
+    x, y = map(np.array, zip(*((a, b) for a in range(len(sets)) for b in range(len(sets)) if a != b)))
+    near, sure = minhash.compared([s[:minhash.SKETCH] for s in sets], x, y, 80)
+    for a, b, n, s in zip(x.tolist(), y.tolist(), near.tolist(), sure.tolist()):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        union = len(sets[a]) + len(sets[b]) - both
+        assert s == (max(len(sets[a]), len(sets[b])) < minhash.SKETCH)
+        if s or 100 * both >= 80 * union:
+            assert n == (100 * both >= 80 * union)
+        if 100 * both < 60 * union:
+            assert not n
+
+
+def test_forest_keeps_what_joins():
+    x, y = np.array([5, 5, 3, 9, 1, 9]), np.array([3, 1, 1, 8, 9, 5])
+    sure = np.array([True, True, True, True, False, False])
+    assert sorted(minhash.forest(x, y, sure).tolist()) == [0, 1, 3, 4, 5]
+    assert minhash.forest(x[:0], y[:0], sure[:0]).tolist() == []
+
+
+def test_a_block_emits_fewer_edges_than_members(spark, monkeypatch):
+    """Two components of near copies in one bucket, all pairs across them linked."""
+    in_one_bucket(monkeypatch)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(n, " ".join([*base, f"x{n}"])) for n in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = minhash.signatures(df, 4).selectExpr("doc_id id", "doc_id % 2 component", "n_shingles", "bands", "sig")
+    assert minhash.open_pairs(df, classes).count() == 1
+    alone = classes.withColumn("component", F.col("id"))
+    assert minhash.open_pairs(df, alone).count() == 59
