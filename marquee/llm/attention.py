@@ -20,7 +20,8 @@ SHARED = 63                  # classes that the less frequent ids share
 END = CLASSES - 1            # class of the end of a text
 SINGLE = END - SHARED        # classes of one frequent id each
 START, PAD = CLASSES, CLASSES + 1
-AT_ONCE = 1024               # windows scored in one step
+AT_ONCE = 256                # windows scored in one step
+POOL = 24 << 20              # bytes of a block freed at once, after which malloc keeps a step's temporaries for reuse
 
 
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +116,9 @@ def forward(p: dict[str, np.ndarray], inputs: np.ndarray):
     x = np.take(p["emb"], inputs, axis=0)
     x += p["pos"]
     xq = x[:, CONTEXT:]
-    q, k, v = xq @ (p["q"] * np.float32(DIM**-0.5)), x @ p["k"], x @ p["v"]
+    q = xq @ (p["q"] * np.float32(DIM**-0.5))
+    kv = (x.reshape(-1, DIM) @ np.hstack([p["k"], p["v"]])).reshape(-1, WIDTH, 2 * DIM)
+    k, v = kv[..., :DIM], kv[..., DIM:]
     a = q @ k.transpose(0, 2, 1)
     a += _CAUSAL
     first = np.flatnonzero(inputs[:, 0] == PAD)            # filling after a text's end is hidden by causality
@@ -136,28 +139,33 @@ def softmax(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return scores, scores @ np.ones(scores.shape[1], np.float32)
 
 
-def by_group(goal: np.ndarray):
-    """(group, places of its targets) of each group that has some."""
+def by_group(h: np.ndarray, goal: np.ndarray, member: np.ndarray):
+    """Rows and targets in order of the targets' groups, (group, first, end) of each group that has some, and the
+    scores of the group's members in each row."""
     order = np.argsort(goal // MEMBERS, kind="stable")
-    cuts = np.searchsorted(goal[order] // MEMBERS, np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        if cuts[g] < cuts[g + 1]:
-            yield g, order[cuts[g]:cuts[g + 1]]
+    h, goal = h[order], goal[order]
+    cuts = np.searchsorted(goal, np.arange(GROUPS + 1) * MEMBERS).tolist() if len(goal) else [0] * (GROUPS + 1)
+    runs = [(g, a, b) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    scores = np.empty((len(goal), MEMBERS), np.float32)
+    for g, a, b in runs:
+        np.matmul(h[a:b], member[g], out=scores[a:b])
+    return h, goal, order, runs, scores
 
 
 def log10_probabilities(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """log10 of every target's class probability, 0 where there is no target."""
+    np.empty(POOL, np.uint8)
     out = np.zeros(targets.size, np.float64)
     for at in range(0, len(inputs), AT_ONCE):
         goal = targets[at:at + AT_ONCE].ravel()
         live = np.flatnonzero(goal >= 0)
         h, goal = forward(p, inputs[at:at + AT_ONCE])[-1][live], goal[live]
+        h, goal, order, _, scores = by_group(h, goal, p["member"])
+        at_goal = np.arange(len(goal))
+        e, total = softmax(scores)
+        lp = np.log(e[at_goal, goal % MEMBERS] / total)
         e, total = softmax(h @ p["group"])
-        lp = np.log(e[np.arange(len(goal)), goal // MEMBERS] / total)
-        for g, rows in by_group(goal):
-            e, total = softmax(h[rows] @ p["member"][g])
-            lp[rows] += np.log(e[np.arange(len(rows)), goal[rows] % MEMBERS] / total)
-        out[at * STEP + live] = lp
+        out[at * STEP + live[order]] = lp + np.log(e[at_goal, goal // MEMBERS] / total)
     return (out / np.log(10)).reshape(targets.shape)
 
 
@@ -167,7 +175,7 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
     a /= norm
     goal = targets.ravel()
     live = np.flatnonzero(goal >= 0)
-    goal, hl = goal[live], h[live]
+    hl, goal, order, runs, scores = by_group(h[live], goal[live], p["member"])
     weight = np.float32(1 / max(1, len(goal)))
 
     def error(scores, chosen):
@@ -179,23 +187,28 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
     d = error(hl @ p["group"], goal // MEMBERS)
     g = {"group": hl.T @ d, "member": np.zeros_like(p["member"])}
     dl = d @ p["group"].T
-    for n, rows in by_group(goal):
-        d = error(hl[rows] @ p["member"][n], goal[rows] % MEMBERS)
-        g["member"][n] = hl[rows].T @ d
-        dl[rows] += d @ p["member"][n].T
+    d = error(scores, goal % MEMBERS)
+    for n, a0, b0 in runs:
+        g["member"][n] = hl[a0:b0].T @ d[a0:b0]
+        dl[a0:b0] += d[a0:b0] @ p["member"][n].T
     dh = np.zeros_like(h)
-    dh[live] = dl
+    dh[live[order]] = dl
     dh = dh[:, :DIM].reshape(len(inputs), STEP, DIM)
     g["o"] = z.reshape(-1, DIM).T @ dh.reshape(-1, DIM)
     dz = dh @ p["o"].T
-    da = dz @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dz
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    ds = dz @ v.transpose(0, 2, 1)
+    dkv = np.empty((len(inputs), WIDTH, 2 * DIM), np.float32)
+    np.matmul(a.transpose(0, 2, 1), dz, out=dkv[..., DIM:])
+    ds -= np.einsum("nij,nij->ni", ds, a)[..., None]
+    ds *= a
+    dq = ds @ k
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[..., :DIM])
     xq, scale = x[:, CONTEXT:], np.float32(DIM**-0.5)
     g["q"] = xq.reshape(-1, DIM).T @ dq.reshape(-1, DIM) * scale
-    g["k"], g["v"] = (x.reshape(-1, DIM).T @ d.reshape(-1, DIM) for d in (dk, dv))
-    dx = dk @ p["k"].T + dv @ p["v"].T
+    dkv = dkv.reshape(-1, 2 * DIM)
+    both = x.reshape(-1, DIM).T @ dkv
+    g["k"], g["v"] = both[:, :DIM], both[:, DIM:]
+    dx = (dkv @ np.hstack([p["k"], p["v"]]).T).reshape(x.shape)
     dx[:, CONTEXT:] += dh + dq @ (p["q"].T * scale)
     g["pos"] = dx.sum(axis=0)
     g["emb"] = np.stack([np.bincount(inputs.ravel(), dx[..., j].ravel(), minlength=CLASSES + 2)
@@ -207,6 +220,7 @@ def train(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, ste
           seed: int) -> dict[str, np.ndarray]:
     """Adam over ``steps`` minibatches (more if one pass over the windows takes more)."""
     rng = np.random.default_rng(seed)
+    np.empty(POOL, np.uint8)
     w = flat(p)
     m, s = np.zeros_like(w), np.zeros_like(w)
     steps = max(steps, -(-len(inputs) // batch))

@@ -38,6 +38,7 @@ CHUNK = 32                   # windows that are dealt together
 PART = 2500                  # chunks that a task holds as windows at once
 RATES = (0.02, 0.012, 0.006, 0.002)       # one round each, a share of the windows each
 KNOWN, KNOWN_BYTES = 100_000, 64
+DISTINCT = 100_000           # distinct words that a task counts before it passes them on
 END_WORD = b""               # a word is never empty, so this stands for the end of a text
 SLICE = 300
 
@@ -54,13 +55,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over the training documents, the end of each text included."""
 
     def count(batches):
-        for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update(words_of(text))
-                seen[END_WORD] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
+        seen: Counter = Counter()
+
+        def counted():
+            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
                                              ["word", "c"])
+            seen.clear()
+            return out
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                for text in batch.column(0).slice(at, SLICE).to_pylist():
+                    seen.update(words_of(text))
+                    seen[END_WORD] += 1
+                    if len(seen) > DISTINCT:
+                        yield counted()
+        yield counted()
 
     rows = docs.where(~held_out(F.col("doc_id"))).select(F.col("text").cast("string")).mapInArrow(
         count, "word binary, c long")
@@ -179,7 +189,6 @@ def score_documents(docs: DataFrame, path: str, every: int = TRAIN_EVERY) -> Dat
     n_all, n_distinct = (x or 0 for x in words.agg(F.sum("c"), F.count(F.lit(1))).first())
     counts = token_counts(words, path)
     cls, share = attention.classes_of(counts)
-    params = train_model(docs, path, cls, every)
     ready = spark.sparkContext.broadcast((frequent_words(words), cls, share))
     base = float(np.log10(n_all + n_distinct + 1))
 
