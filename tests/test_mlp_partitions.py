@@ -1,6 +1,7 @@
 """R-9: what an epoch sends does not grow with the session's shuffle partitions."""
 
 import numpy as np
+import pyarrow as pa
 
 from marquee.operators import mlp
 
@@ -20,3 +21,8 @@ def test_trainers_are_as_many_as_cores_at_most(spark, monkeypatch):
         spark.conf.set(key, before)
     assert len(fitted[4]) == len(sent) == 4 and np.isfinite(fitted[0]).all()
     assert max(sent) <= max(8, spark.sparkContext.defaultParallelism)
+
+
+def test_epochs_read_batches_as_they_were():
+    batch = pa.RecordBatch.from_arrays([pa.array([[0, 2], None, []], pa.list_(pa.int32())), pa.array([1.0, None, 3.0])], ["idx", "label"])
+    assert list(mlp._unpacked(mlp._packed([batch, batch.slice(1)]))) == [batch, batch.slice(1)]
