@@ -50,3 +50,13 @@ def test_ngram_counts(spark):
 def test_no_items(spark):
     found = fit_tfidf(_items(spark, 1).where("item_id > 100"), 5, 2)
     assert found.vocab.count() == found.weights.count() == found.item_norms.count() == 0
+
+
+def test_search_writes_no_second_copy_of_the_rows(spark, monkeypatch):
+    from marquee.operators import similarity, svd
+    model, written = fit_tfidf(_items(spark, 2), 6, 2), []
+    for module in (similarity, svd):
+        real = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, real=real: written.append(df.columns) or real(df))
+    found = similarity.recommend_sparse(model, spark.createDataFrame([(1,)], "query_id long"), 2).collect()
+    assert len(found) == 2 and ["item_id", "idx", "val"] not in written
