@@ -60,3 +60,27 @@ def test_search_writes_no_second_copy_of_the_rows(spark, monkeypatch):
         monkeypatch.setattr(module, "cut_lineage", lambda df, real=real: written.append(df.columns) or real(df))
     found = similarity.recommend_sparse(model, spark.createDataFrame([(1,)], "query_id long"), 2).collect()
     assert len(found) == 2 and ["item_id", "idx", "val"] not in written
+
+
+def test_packed_items_hold_the_same_words_in_less_room(spark):
+    from marquee.operators.termrows import item_ids, unpacked, word_counts
+    from marquee.operators.tfidf import packed_items
+    rows = [(i // 2, " ".join(f"word{(i * j) % 97}" for j in range(200))) for i in range(400)] + ROWS
+    items = spark.createDataFrame(rows, "item_id long, overview string").repartition(3)
+    plain, slices = tokenised(items), packed_items(items)
+    key = lambda r: (r["item_id"] is None, r["item_id"] or 0, r["terms"])
+    assert sorted(unpacked(slices).collect(), key=key) == sorted(plain.collect(), key=key)
+    assert Counter(item_ids(slices).collect()) == Counter(plain.select("item_id").collect())
+    assert Counter(word_counts(slices).collect()) == Counter(word_counts(plain).collect())
+    # What is written are whole slices: fewer bytes than the texts have, and no row per item.
+    size = sum(len(r["slice"]) for r in slices.collect())
+    assert slices.count() <= slices.rdd.getNumPartitions() and size < sum(len(r[1] or "") for r in rows) / 2
+
+
+def test_models_share_packed_items(spark):
+    from marquee.operators import models
+    shared = models._shared(_items(spark, 2), reuse=False)
+    assert "slice" in shared["terms"].columns
+    for most in (3, None):
+        found = fit_tfidf(_items(spark, 2), most, 2, **shared)
+        assert _told(found) == _told(fit_tfidf(_items(spark, 1), most, 2, prune=False))
