@@ -100,3 +100,42 @@ def test_a_bad_query_leaves_the_others(spark, monkeypatch):
     recs, timings = models.compare(cat, q.where("query_id in (3, 11)"), ["knn"], 3, params)
     assert timings.first()["status"].startswith("error: ValueError") and recs.count() == 0
     assert recs.where(F.col("model") == "knn").count() == 0
+
+
+BROKEN = [("q_six_model_agreement", "fit"), ("q_six_model_metrics", "query"), ("q_six_model_recs", "fit"),
+          ("q_six_model_confusion", "query"), ("q_six_model_best", "fit")]
+
+
+@pytest.mark.parametrize("name,what", BROKEN)
+def test_a_failure_is_no_result(spark, six, monkeypatch, name, what):
+    """Tables without a status raise if a model or a single query failed, and the failure is not kept."""
+    recs, timings = six
+    bad = F.col("model") == "svd"
+    if what == "fit":
+        timings = timings.withColumn("status", F.when(bad, "error: ValueError: x").otherwise(F.col("status")))
+        recs = recs.where(~bad)
+    else:
+        timings = timings.withColumn("n_failed", F.when(bad, 1).otherwise(F.col("n_failed")))
+    key = (spark.sparkContext.applicationId, "elsewhere")
+    monkeypatch.setattr(R, "_items", lambda s, d, real=R._items: real(s, SF))
+    monkeypatch.setattr(models, "compare", lambda *a, **b: (recs, timings))
+    with pytest.raises(models.IncompleteComparison, match="svd"):
+        getattr(R, name)(spark, "elsewhere")
+    assert key not in R._SIX
+    shown = {r["model"]: (r["status"], r["n_failed"]) for r in R.q_model_comparison(spark, "elsewhere").collect()}
+    assert shown["svd"] != ("ok", 0) and len(shown) == 6
+    monkeypatch.setattr(models, "compare", lambda *a, **b: six)
+    try:
+        assert getattr(R, name)(spark, "elsewhere").count() and key in R._SIX
+    finally:
+        R._SIX.pop(key, None)
+
+
+def test_a_search_that_fails_without_queries_is_a_failure(spark, monkeypatch):
+    cat = spark.createDataFrame([(k, f"alpha{k}", f"t{k}", "g", 5.0, 10, 1.0) for k in range(9)],
+                                "item_id long, overview string, title string, genres_str string, vote_average double, "
+                                "vote_count int, popularity double")
+    monkeypatch.setattr(models.FittedModel, "recommend", lambda *a, **b: 1 / 0)
+    none = spark.createDataFrame([], "query_id long")
+    recs, timings = models.compare(cat, none, ["knn"], 3, {"knn": dict(max_features=20, ngram_max=1)})
+    assert timings.first()["status"].startswith("error: ZeroDivisionError") and recs.count() == 0
