@@ -139,3 +139,20 @@ def test_a_search_that_fails_without_queries_is_a_failure(spark, monkeypatch):
     none = spark.createDataFrame([], "query_id long")
     recs, timings = models.compare(cat, none, ["knn"], 3, {"knn": dict(max_features=20, ngram_max=1)})
     assert timings.first()["status"].startswith("error: ZeroDivisionError") and recs.count() == 0
+
+
+def test_a_comparison_holds_one_vocabulary_at_a_time(spark, monkeypatch):
+    """Models of one vocabulary share its rows, and all that the comparison fitted leaves the store; what was there stays."""
+    cat = spark.createDataFrame([(k, f"alpha{k % 4} beta{k % 3} x{k}", f"t{k}", "g", float(k % 5), 10, 1.0) for k in range(30)],
+                                "item_id long, overview string, title string, genres_str string, vote_average double, "
+                                "vote_count int, popularity double")
+    kept = models.fit_model("content_based", cat, SMALL["content_based"])
+    before, held, fits, real = set(models._STORE), [], [], models.fit_tfidf
+    monkeypatch.setattr(models, "fit_tfidf", lambda *a, **b: fits.append(b["max_features"]) or real(*a, **b))
+    params = SMALL | {"svd": dict(max_features=50, ngram_max=1, n_components=5)}
+    names = ["knn", "random_forest", "content_based", "svd", "neural"]
+    for name, fitted in models.in_turn(cat, names, params):
+        held.append((name, len([k for k in set(models._STORE) - before if k[2] == "tfidf"])))
+        assert fitted.name == name and fitted.fit_seconds > 0 and (name != "content_based" or fitted is kept)
+    assert [n for n, _ in held] == ["knn", "svd", "random_forest", "neural", "content_based"] and max(k for _, k in held) == 1
+    assert fits == [50, 20] and set(models._STORE) == before
